@@ -12,6 +12,13 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Class of near-duplicates (five-word shingles, Jaccard of 0.8 or more) and number of links of every document."""
+    from .ngram_join import ngram_join
+
+    return ngram_join(_table(spark, sf_dir, "documents")).select(F.nullif("rid", F.lit(-(1 << 63))).alias("doc_id"), "class_id", "n_links")
+
+
 def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that repeat an earlier run of 20 words, removed: doc_id, n_words, n_removed, kept_sha256."""
     from .substring_dedup import substring_dedup
