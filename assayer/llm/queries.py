@@ -12,6 +12,14 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark items of which every document holds four fifths or more: doc_id, n_leaks, item_ids, max_share."""
+    from .decontamination import find_leaks
+
+    out = find_leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return out.select(F.col("doc.doc_id").alias("doc_id"), F.size("leaks").cast("long").alias("n_leaks"), F.col("leaks.item_id").alias("item_ids"), F.coalesce(F.array_max("leaks.share"), F.lit(0.0)).alias("max_share"))
+
+
 def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Class of near-duplicates (five-word shingles, Jaccard of 0.8 or more) and number of links of every document."""
     from .ngram_join import ngram_join
