@@ -35,6 +35,17 @@ def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(F.col("doc.doc_id").alias("doc_id"), "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learned from the documents whose crc32(doc_id) mod 3 isn't 1."""
+    from .language_id import identify, train
+    from .samples import remainder
+
+    docs = _table(spark, sf_dir, "documents")
+    held_out = F.coalesce(remainder("doc_id", 3) == 1, F.lit(False))
+    out = identify(docs.select("doc_id", "text"), train(docs.where(~held_out)))
+    return out.select(F.col("doc.doc_id").alias("doc_id"), "lang_pred", "score").withColumn("held_out", held_out).select("doc_id", "held_out", "lang_pred", "score")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: f for k, f in globals().items() if k.startswith("op") and callable(f)}
 
