@@ -12,6 +12,31 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _scored(spark: SparkSession, sf_dir: str, operator, label: str, fold: tuple[int, int], rows: int, cut: float) -> DataFrame:
+    """Scores of all documents by a model of the labels outside the fold (modulus, remainder)."""
+    from .samples import labelled_sample, remainder
+
+    held_out = F.coalesce(remainder("doc_id", fold[0]) == fold[1], F.lit(False))
+    docs = _table(spark, sf_dir, "documents")
+    sample = labelled_sample(docs, _table(spark, sf_dir, "labels").where(~held_out), label, rows=rows, max_chars=100_000)
+    out = operator.score(docs.select("doc_id", "text"), operator.train(sample)).select(F.col("doc.doc_id").alias("doc_id"), "score")
+    return out.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= cut).cast("int").alias("predicted"))
+
+
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document, learned from about 1,500 documents of each label whose crc32(doc_id) mod 4 isn't 2."""
+    from . import toxicity
+
+    return _scored(spark, sf_dir, toxicity, "toxic", (4, 2), 1500, 0.3)
+
+
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document, learned from about 2,500 documents of each label whose crc32(doc_id) mod 3 isn't 1."""
+    from . import quality
+
+    return _scored(spark, sf_dir, quality, "quality", (3, 1), 2500, 0.5)
+
+
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark items of which every document holds four fifths or more: doc_id, n_leaks, item_ids, max_share."""
     from .decontamination import find_leaks

@@ -12,6 +12,7 @@ words also start earlier: in a text with a smaller id, or earlier in the same te
 
 A value that occurs many times in one map task leaves that task once (its other occurrences are settled
 there), so a value has at most as many rows in a shuffle as there are map tasks: no hot key meets in one task.
+Occurrences are sent packed, about 11 bytes each, to spark.sql.shuffle.partitions ranges of hashes; a task holds one range.
 The texts are shuffled once by id; both later passes read that exchange.
 
 Defined results: a null id sorts before all others; rows that share an id are ordered by a hash of the text,
@@ -25,7 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -33,10 +34,12 @@ from . import textcore as tc
 
 #: Perfect difference sets by period (fixed values).
 COVERS = {1: (0,), 3: (0, 1), 7: (0, 1, 3), 13: (0, 1, 3, 9), 21: (0, 1, 4, 14, 16), 31: (0, 1, 3, 8, 12, 18), 57: (0, 1, 3, 13, 32, 36, 43, 52)}
-#: Rows of a map task that are settled at once.
+#: Occurrences that a map task settles and packs at once.
 FLUSH = 2_000_000
-_ROWS = pa.schema([("key", pa.int64()), ("rid", pa.int64()), ("spot", pa.int64()), ("known", pa.bool_())])
-_ROWS_SQL = "key long, rid long, spot long, known boolean"
+#: What a map task sends to one partition of keys: the sorted keys as steps, and for each its text (a number in rid and tie) and place;
+#: then the text and place of occurrences that are settled already.  Numbers are stored by byte planes, which compress well.
+_PACK = "part int, keys binary, who binary, place binary, known_who binary, known_place binary, rid binary, tie binary"
+_LISTS = "rid long, tie int, at array<int>"
 
 
 def cover_for(window: int) -> tuple[int, tuple[int, ...]]:
@@ -45,85 +48,159 @@ def cover_for(window: int) -> tuple[int, tuple[int, ...]]:
     return period, COVERS[period]
 
 
-def _settled(rows: list[tuple[np.ndarray, np.ndarray, np.ndarray]], first_stays: bool) -> Iterator[pa.RecordBatch]:
-    """One row per key with its first occurrence, and the others of the key as known rows with keys of their own.
+def _planes(x: np.ndarray) -> bytes:
+    return x.view(np.uint8).reshape(len(x), x.itemsize).T.tobytes()
 
-    first_stays: the first occurrence isn't known; otherwise it is too if the key occurs at two places."""
-    if not rows:
-        return
-    key, rid, spot = (np.concatenate(x) for x in zip(*rows, strict=True))
-    order = np.lexsort((spot, rid, key))
-    key, rid, spot = key[order], rid[order], spot[order]
-    same = np.zeros(len(key), bool)
-    same[1:] = key[1:] == key[:-1]
-    twin = same.copy()
-    twin[1:] &= (rid[1:] == rid[:-1]) & (spot[1:] == spot[:-1])
-    keep = ~twin
-    key, rid, spot, same = key[keep], rid[keep], spot[keep], same[keep]
-    known = same.copy()
-    if not first_stays:
-        known[:-1] |= same[1:]
-    key = np.where(same, tc.mix(rid.view(tc.U) * tc.U(0x9E3779B97F4A7C15) ^ spot.view(tc.U)), key)
-    for at in range(0, len(key), 200_000):
-        to = at + 200_000
-        yield pa.RecordBatch.from_arrays([pa.array(tc.signed(key[at:to])), pa.array(rid[at:to]), pa.array(spot[at:to]), pa.array(known[at:to])], schema=_ROWS)
+
+def _numbers(raw: bytes, kind: type) -> np.ndarray:
+    size = np.dtype(kind).itemsize
+    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(size, -1).T).view(kind).ravel()
 
 
 def _ints(column: pa.Array) -> np.ndarray:
     return np.asarray(column.to_numpy(zero_copy_only=False), np.int64)
 
 
-def _anchors(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.RecordBatch]:
+class _Packer:
+    """Gathers occurrences (key, rid, tie, place) of a map task and packs them by partition of keys.
+
+    A key leaves with its first occurrence only.  If it has several, they are settled here: all of them
+    (all_known), or all but the first."""
+
+    def __init__(self, parts: int, all_known: bool):
+        self.parts, self.all_known, self.held, self.n = parts, all_known, [], 0
+
+    def add(self, key: np.ndarray, batch: pa.RecordBatch, doc: np.ndarray, place: np.ndarray) -> Iterator[pa.RecordBatch]:
+        self.held.append((key, _ints(batch.column("rid"))[doc], _ints(batch.column("tie"))[doc], place))
+        self.n += len(key)
+        if self.n > FLUSH:
+            yield from self.flush()
+
+    def flush(self) -> Iterator[pa.RecordBatch]:
+        if not self.n:
+            return
+        key, rid, tie, place = (np.concatenate(x) for x in zip(*self.held, strict=True))
+        self.held, self.n = [], 0
+        order = np.lexsort((place, tie, rid))
+        rid, tie = rid[order], tie[order]
+        fresh = np.concatenate([[True], (rid[1:] != rid[:-1]) | (tie[1:] != tie[:-1])])
+        who = np.empty(len(order), np.int64)
+        who[order] = np.cumsum(fresh) - 1
+        rid, tie = rid[fresh], tie[fresh]
+        spot = (who << 32) | place
+        order = np.lexsort((spot, key))
+        key, spot = key[order], spot[order]
+        keep = np.concatenate([[True], (key[1:] != key[:-1]) | (spot[1:] != spot[:-1])])
+        key, spot = key[keep], spot[keep]
+        again = np.concatenate([[False], key[1:] == key[:-1]])
+        known = again.copy()
+        if self.all_known:
+            known[:-1] |= again[1:]
+        known = np.sort(spot[known])
+        key, spot = key[~again], spot[~again]
+        part = ((key >> tc.U(32)) * tc.U(self.parts) >> tc.U(32)).astype(np.int64)
+        cuts = np.searchsorted(part, np.arange(self.parts + 1))
+        # Settled occurrences go out evenly by text, not by key.
+        to = ((tc.mix(rid.view(tc.U)) >> tc.U(32)) * tc.U(self.parts) >> tc.U(32)).astype(np.int64)[known >> 32]
+        known = known[np.argsort(to, kind="stable")]
+        known_cuts = np.searchsorted(np.sort(to), np.arange(self.parts + 1))
+        rows = []
+        for p in range(self.parts):
+            k, x, y = key[cuts[p] : cuts[p + 1]], spot[cuts[p] : cuts[p + 1]], known[known_cuts[p] : known_cuts[p + 1]]
+            if len(k) or len(y):
+                used, number = np.unique(np.concatenate([x, y]) >> 32, return_inverse=True)
+                number = number.astype(np.uint32)
+                rows.append((p, _planes(np.diff(k, prepend=tc.U(0))), _planes(number[: len(x)]), _planes((x & 0xFFFFFFFF).astype(np.uint32)), _planes(number[len(x) :]), _planes((y & 0xFFFFFFFF).astype(np.uint32)), rid[used].tobytes(), _planes(tie[used].astype(np.int32))))
+        for at in range(0, len(rows), 64):
+            columns = list(zip(*rows[at : at + 64], strict=True))
+            yield pa.RecordBatch.from_arrays([pa.array(columns[0], pa.int32()), *(pa.array(c, pa.binary()) for c in columns[1:])], names=["part", "keys", "who", "place", "known_who", "known_place", "rid", "tie"])
+
+
+def _settle(batches: Iterator[pa.RecordBatch], all_known: bool) -> Iterator[pa.RecordBatch]:
+    """Places by text, of one partition of keys: the settled ones, and those whose key occurs again (all_known: all of them; else all but the first)."""
+    packs = [row for batch in batches for row in batch.to_pylist()]
+    if not packs:
+        return
+    key = np.concatenate([np.cumsum(_numbers(r["keys"], np.uint64), dtype=tc.U) for r in packs])
+    rid = [np.frombuffer(r["rid"], np.int64) for r in packs]
+    tie = [_numbers(r["tie"], np.int32).astype(np.int64) for r in packs]
+    who = [_numbers(r["who"], np.uint32) for r in packs]
+    place = np.concatenate([_numbers(r["place"], np.uint32) for r in packs]).astype(np.int64)
+    own_rid, own_tie = (np.concatenate([x[w] for x, w in zip(of, who, strict=True)]) for of in (rid, tie))
+    order = np.lexsort((place, own_tie, own_rid, key))
+    twin = np.concatenate([[False], key[order][1:] == key[order][:-1]])
+    same_spot = twin.copy()
+    for x in (own_rid, own_tie, place):
+        same_spot[1:] &= x[order][1:] == x[order][:-1]
+    # A run of one key: its first spot, and every row that isn't at that spot.
+    start = np.flatnonzero(~twin)
+    run = np.cumsum(~twin) - 1
+    later = np.zeros(len(order), bool)
+    if len(order):
+        moved = np.cumsum(~same_spot)
+        later = moved > moved[start][run]
+    hit = np.bitwise_or.reduceat(later, start)[run] if all_known and len(order) else later
+    hit = order[hit]
+    known_who = [_numbers(r["known_who"], np.uint32) for r in packs]
+    rid = np.concatenate([own_rid[hit], *(x[w] for x, w in zip(rid, known_who, strict=True))])
+    tie = np.concatenate([own_tie[hit], *(x[w] for x, w in zip(tie, known_who, strict=True))])
+    place = np.concatenate([place[hit], *(_numbers(r["known_place"], np.uint32).astype(np.int64) for r in packs)])
+    order = np.lexsort((place, tie, rid))
+    rid, tie, place = rid[order], tie[order], place[order]
+    fresh = np.flatnonzero(np.concatenate([[True], (rid[1:] != rid[:-1]) | (tie[1:] != tie[:-1])])[: len(rid)])
+    ends = np.append(fresh, len(rid))
+    for at in range(0, len(fresh), 20_000):
+        lo, hi = at, min(at + 20_000, len(fresh))
+        lists = pa.ListArray.from_arrays(pa.array((ends[lo : hi + 1] - ends[lo]).astype(np.int32)), pa.array(place[ends[lo] : ends[hi]].astype(np.int32)))
+        yield pa.RecordBatch.from_arrays([pa.array(rid[fresh[lo:hi]]), pa.array(tie[fresh[lo:hi]].astype(np.int32)), lists], names=["rid", "tie", "at"])
+
+
+def _text(batch: pa.RecordBatch, name: str) -> pa.RecordBatch:
+    return batch.append_column("text", batch.column("doc").field(name).cast(pa.string()))
+
+
+def _anchors(batches: Iterator[pa.RecordBatch], window: int, parts: int) -> Iterator[pa.RecordBatch]:
     period, cover = cover_for(window)
     size, on = window - period + 1, np.isin(np.arange(period), cover)
-    held, n = [], 0
+    pack = _Packer(parts, True)
     for batch in tc.slices(batches):
         w = tc.words(*tc.utf8(batch.column("text")), tc.SOLID)
         hashes = tc.runs(w.hashes(), size)
+        total = np.repeat(w.counts, w.counts)
         place = np.arange(len(w.start)) - np.repeat(w.first[:-1], w.counts)
-        left = np.repeat(w.counts, w.counts) - place
-        at = np.flatnonzero(on[place % period] & (left >= size) & (np.repeat(w.counts, w.counts) >= window))
-        doc = np.repeat(np.arange(batch.num_rows), w.counts)[at]
-        held.append((hashes[at], _ints(batch.column("rid"))[doc], (_ints(batch.column("tie"))[doc] << 32) | place[at]))
-        n += len(at)
-        if n > FLUSH:
-            yield from _settled(held, False)
-            held, n = [], 0
-    yield from _settled(held, False)
-
-
-def _candidates(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.RecordBatch]:
+        at = np.flatnonzero(on[place % period] & (total - place >= size) & (total >= window))
+        yield from pack.add(hashes[at], batch, np.repeat(np.arange(batch.num_rows), w.counts)[at], place[at])
+    yield from pack.flush()
+
+
+def _spots(batch: pa.RecordBatch, w: tc.Words) -> np.ndarray:
+    """Numbers of the words at the places of the list `at`."""
+    spots = batch.column("at")
+    off = np.concatenate([[0], np.cumsum(_ints(spots.value_lengths().fill_null(0)))])
+    return w.first[:-1][np.repeat(np.arange(batch.num_rows), np.diff(off))] + _ints(spots.flatten())
+
+
+def _candidates(batches: Iterator[pa.RecordBatch], window: int, parts: int, text_col: str) -> Iterator[pa.RecordBatch]:
     """The windows that hold an anchor of the list `at`."""
     period, _ = cover_for(window)
-    held, n = [], 0
-    for batch in tc.slices(batches):
+    pack = _Packer(parts, False)
+    for batch in tc.slices(_text(b, text_col) for b in batches):
         w = tc.words(*tc.utf8(batch.column("text")), tc.SOLID)
         hashes = tc.runs(w.hashes(), window)
-        spots = batch.column("at")
-        off = spots.offsets.to_numpy() - spots.offsets[0].as_py()
-        doc = np.repeat(np.arange(batch.num_rows), np.diff(off))
-        place = w.first[:-1][doc] + _ints(spots.flatten())
-        mark = np.zeros(len(w.start) + 1, np.int32)  # a window may start at up to period - 1 words before an anchor
-        np.add.at(mark, np.maximum(place - period + 1, w.first[:-1][doc]), 1)
-        np.add.at(mark, place + 1, -1)
         owner = np.repeat(np.arange(batch.num_rows), w.counts)
+        spots = _spots(batch, w)
+        mark = np.zeros(len(w.start) + 1, np.int32)  # a window may start at up to period - 1 words before an anchor
+        np.add.at(mark, np.maximum(spots - period + 1, w.first[:-1][owner[spots]]), 1)
+        np.add.at(mark, spots + 1, -1)
         at = np.flatnonzero((np.cumsum(mark)[:-1] > 0) & (np.arange(len(w.start)) + window <= w.first[1:][owner]))
-        doc = owner[at]
-        held.append((hashes[at], _ints(batch.column("rid"))[doc], (_ints(batch.column("tie"))[doc] << 32) | (at - w.first[:-1][doc])))
-        n += len(at)
-        if n > FLUSH:
-            yield from _settled(held, True)
-            held, n = [], 0
-    yield from _settled(held, True)
+        yield from pack.add(hashes[at], batch, owner[at], at - w.first[:-1][owner[at]])
+    yield from pack.flush()
 
 
-def _cut(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.RecordBatch]:
-    for batch in tc.slices(batches):
+def _cut(batches: Iterator[pa.RecordBatch], window: int, text_col: str) -> Iterator[pa.RecordBatch]:
+    for batch in tc.slices(_text(b, text_col) for b in batches):
         w = tc.words(*tc.utf8(batch.column("text")), tc.SOLID)
-        spots = batch.column("at")
-        spots = pa.array([[]], spots.type).take(pa.array([0] * batch.num_rows)) if spots.null_count == batch.num_rows else spots.fill_null(pa.scalar([], spots.type)) if spots.null_count else spots
-        off = spots.offsets.to_numpy() - spots.offsets[0].as_py()
-        place = w.first[:-1][np.repeat(np.arange(batch.num_rows), np.diff(off))] + _ints(spots.flatten())
+        place = _spots(batch, w)
         mark = np.zeros(len(w.start) + 1, np.int32)
         np.add.at(mark, place, 1)
         np.add.at(mark, place + window, -1)
@@ -155,18 +232,18 @@ def _cut(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.RecordBa
 def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 20) -> DataFrame:
     """Per row: doc (its columns), n_words, n_removed, spans (removed words as [first, last)), kept (the other words, joined by one blank)."""
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"))
-    text = F.col("doc").getField(text_col)
+    text = F.col("doc").getField(text_col).cast("string")
     rows = rows.select("doc", F.coalesce(F.col("doc").getField(id_col).cast("long"), F.lit(-(1 << 63))).alias("rid"), F.hash(text).alias("tie"))
-    texts = rows.select("rid", "tie", text.alias("text"))
-    by_key = Window.partitionBy("key")
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
-    def lists(spots: DataFrame, only: str) -> DataFrame:
+    def lists(packs: DataFrame, all_known: bool) -> DataFrame:
         """The places of each text."""
-        return spots.where(only).groupBy("rid", F.shiftright("spot", 32).cast("int").alias("tie")).agg(F.collect_set(F.col("spot").bitwiseAND(0xFFFFFFFF).cast("int")).alias("at"))
+        found = packs.repartitionById(parts, "part").mapInArrow(lambda it: _settle(it, all_known), _LISTS)
+        return found.groupBy("rid", "tie").agg(F.flatten(F.collect_list("at")).alias("at")).hint("shuffle_hash")
 
-    anchors = texts.mapInArrow(lambda it: _anchors(it, window), _ROWS_SQL).withColumn("n", F.count(F.lit(1)).over(by_key))
-    near = rows.join(lists(anchors, "known or n > 1").hint("shuffle_hash"), ["rid", "tie"]).select("rid", "tie", text.alias("text"), "at")
-    windows = near.mapInArrow(lambda it: _candidates(it, window), _ROWS_SQL).withColumn("n", F.rank().over(by_key.orderBy("rid", "spot")))
-    last = rows.join(lists(windows, "known or n > 1").hint("shuffle_hash"), ["rid", "tie"], "left").select("doc", text.alias("text"), "at")
+    anchors = rows.select("rid", "tie", text.alias("text")).mapInArrow(lambda it: _anchors(it, window, parts), _PACK)
+    near = rows.join(lists(anchors, True), ["rid", "tie"]).select("doc", "rid", "tie", "at")
+    windows = near.mapInArrow(lambda it: _candidates(it, window, parts, text_col), _PACK)
+    last = rows.join(lists(windows, False), ["rid", "tie"], "left").select("doc", "at")
     schema = T.StructType([rows.schema["doc"], *T._parse_datatype_string("n_words long, n_removed long, spans array<struct<first:long,last:long>>, kept string").fields])
-    return last.mapInArrow(lambda it: _cut(it, window), schema)
+    return last.mapInArrow(lambda it: _cut(it, window, text_col), schema)
