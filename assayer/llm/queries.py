@@ -60,6 +60,14 @@ def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(F.col("doc.doc_id").alias("doc_id"), "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op9_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page, with weights from about 400 pages that mark their content."""
+    from .html_text import main_text, train
+
+    pages = _table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return main_text(pages, train(pages)).select("doc.page_id", "doc.url", "text", F.char_length("text").cast("long").alias("n_chars"))
+
+
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document, learned from the documents whose crc32(doc_id) mod 3 isn't 1."""
     from .language_id import identify, train
