@@ -37,6 +37,13 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _scored(spark, sf_dir, quality, "quality", (3, 1), 2500, 0.5)
 
 
+def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every document and its edited text, and their likeness."""
+    from .fingerprints import edited_fingerprints
+
+    return edited_fingerprints(_table(spark, sf_dir, "documents"))
+
+
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark items of which every document holds four fifths or more: doc_id, n_leaks, item_ids, max_share."""
     from .decontamination import find_leaks
