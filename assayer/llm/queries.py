@@ -56,6 +56,13 @@ def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("conv_id", F.size("turns").cast("long").alias("n_turns"), digest.alias("turns_sha256"), F.char_length("loss").cast("long").alias("loss_chars"), F.sha2("loss", 256).alias("loss_sha256"), F.char_length("formatted").cast("long").alias("formatted_chars"))
 
 
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Length bucket, batch and slot of every document."""
+    from .packing import pack
+
+    return pack(_table(spark, sf_dir, "documents"))
+
+
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark items of which every document holds four fifths or more: doc_id, n_leaks, item_ids, max_share."""
     from .decontamination import find_leaks

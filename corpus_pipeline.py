@@ -5,20 +5,48 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from assayer.llm import decontamination, language_id, ngram_join, packing, substring_dedup
 from assayer.llm.durable import written
-from assayer.llm.substring_dedup import substring_dedup
+from assayer.llm.samples import remainder
+
+
+def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a language (no text, or no letter in it) go; the others get the one they are written in."""
+    held_out = F.coalesce(remainder("doc_id", 3) == 1, F.lit(False))
+    out = language_id.identify(docs, language_id.train(docs.where(~held_out))).where("lang_pred <> 'und'")
+    return out.select(*[F.col("lang_pred" if c == "lang" else f"doc.`{c}`").alias(c) for c in docs.columns])
+
+
+def remove_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near-duplicates the document with the smallest id stays."""
+    joined = ngram_join.ngram_join(docs)
+    stays = joined.where("rid = keep_rid and tx = keep_tx").select("rid", "tx").distinct()
+    keyed = docs.withColumns({"_rid": F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))), "_tx": F.xxhash64("text")})
+    kept = keyed.join(stays.select(F.col("rid").alias("_rid"), F.col("tx").alias("_tx")), ["_rid", "_tx"]).dropDuplicates(["_rid", "_tx"])
+    return kept.select(*docs.columns)
 
 
 def remove_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Words of repeated 20-word runs go; a text that loses none stays as it is."""
-    out = substring_dedup(docs)
-    text = F.when(F.col("n_removed") > 0, F.col("kept")).otherwise(F.col("doc.text"))
-    own = {"text": text, "n_chars": F.when(F.col("n_removed") > 0, F.char_length("kept")).otherwise(F.col("doc.n_chars"))}
+    out = substring_dedup.substring_dedup(docs)
+    cut = F.col("n_removed") > 0
+    own = {"text": F.when(cut, F.col("kept")).otherwise(F.col("doc.text")), "n_chars": F.when(cut, F.char_length("kept").cast("long")).otherwise(F.col("doc.n_chars"))}
     return out.select(*[own.get(c, F.col(f"doc.`{c}`")).alias(c) for c in docs.columns])
 
 
-STAGES = [("substring_dedup", remove_repeats)]
-#: SQL can't express the stages; they are held against brute force in tests/llm.
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item go."""
+    out = decontamination.find_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return out.where(F.size("leaks") == 0).select("doc.*")
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Length bucket, batch and slot of each document that is left."""
+    return packing.pack(docs)
+
+
+STAGES = [("language_id", identify_language), ("ngram_join", remove_near_duplicates), ("substring_dedup", remove_repeats), ("decontamination", decontaminate), ("packing", pack)]
+#: SQL can't express language models and tokenizers; the stages are held against brute force in tests/llm.
 ORACLE_SQL = None
 
 
