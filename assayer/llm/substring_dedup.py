@@ -39,7 +39,9 @@ FLUSH = 2_000_000
 #: What a map task sends to one partition of keys: the sorted keys as steps, and for each its text (a number in rid and tie) and place;
 #: then the text and place of occurrences that are settled already.  Numbers are stored by byte planes, which compress well.
 _PACK = "part int, keys binary, who binary, place binary, known_who binary, known_place binary, rid binary, tie binary"
-_LISTS = "rid long, tie int, at array<int>"
+#: What a task of keys sends to one partition of texts: texts, how many places each has, and the places.
+_PLACES = "part int, rid binary, tie binary, n binary, place binary"
+_RANGES = "rid long, tie int, at array<int>"
 
 
 def cover_for(window: int) -> tuple[int, tuple[int, ...]]:
@@ -61,6 +63,10 @@ def _ints(column: pa.Array) -> np.ndarray:
     return np.asarray(column.to_numpy(zero_copy_only=False), np.int64)
 
 
+def _part_of(rid: np.ndarray, parts: int) -> np.ndarray:
+    return ((tc.mix(rid.view(tc.U)) >> tc.U(32)) * tc.U(parts) >> tc.U(32)).astype(np.int64)
+
+
 class _Packer:
     """Gathers occurrences (key, rid, tie, place) of a map task and packs them by partition of keys.
 
@@ -101,7 +107,7 @@ class _Packer:
         part = ((key >> tc.U(32)) * tc.U(self.parts) >> tc.U(32)).astype(np.int64)
         cuts = np.searchsorted(part, np.arange(self.parts + 1))
         # Settled occurrences go out evenly by text, not by key.
-        to = ((tc.mix(rid.view(tc.U)) >> tc.U(32)) * tc.U(self.parts) >> tc.U(32)).astype(np.int64)[known >> 32]
+        to = _part_of(rid, self.parts)[known >> 32]
         known = known[np.argsort(to, kind="stable")]
         known_cuts = np.searchsorted(np.sort(to), np.arange(self.parts + 1))
         rows = []
@@ -116,7 +122,7 @@ class _Packer:
             yield pa.RecordBatch.from_arrays([pa.array(columns[0], pa.int32()), *(pa.array(c, pa.binary()) for c in columns[1:])], names=["part", "keys", "who", "place", "known_who", "known_place", "rid", "tie"])
 
 
-def _settle(batches: Iterator[pa.RecordBatch], all_known: bool) -> Iterator[pa.RecordBatch]:
+def _settle(batches: Iterator[pa.RecordBatch], all_known: bool, parts: int) -> Iterator[pa.RecordBatch]:
     """Places by text, of one partition of keys: the settled ones, and those whose key occurs again (all_known: all of them; else all but the first)."""
     packs = [row for batch in batches for row in batch.to_pylist()]
     if not packs:
@@ -145,14 +151,44 @@ def _settle(batches: Iterator[pa.RecordBatch], all_known: bool) -> Iterator[pa.R
     rid = np.concatenate([own_rid[hit], *(x[w] for x, w in zip(rid, known_who, strict=True))])
     tie = np.concatenate([own_tie[hit], *(x[w] for x, w in zip(tie, known_who, strict=True))])
     place = np.concatenate([place[hit], *(_numbers(r["known_place"], np.uint32).astype(np.int64) for r in packs)])
+    to = _part_of(rid, parts)
+    order = np.lexsort((place, tie, rid, to))
+    rid, tie, place, to = rid[order], tie[order], place[order], to[order]
+    fresh = np.concatenate([[True], (rid[1:] != rid[:-1]) | (tie[1:] != tie[:-1])])[: len(rid)]
+    cuts, rows = np.searchsorted(to, np.arange(parts + 1)), []
+    for p in range(parts):
+        lo, hi = cuts[p], cuts[p + 1]
+        if hi > lo:
+            first = np.flatnonzero(fresh[lo:hi]) + lo
+            rows.append((p, rid[first].tobytes(), _planes(tie[first].astype(np.int32)), _planes(np.diff(np.append(first, hi)).astype(np.uint32)), _planes(place[lo:hi].astype(np.uint32))))
+    for at in range(0, len(rows), 64):
+        columns = list(zip(*rows[at : at + 64], strict=True))
+        yield pa.RecordBatch.from_arrays([pa.array(columns[0], pa.int32()), *(pa.array(c, pa.binary()) for c in columns[1:])], names=["part", "rid", "tie", "n", "place"])
+
+
+def _merge(batches: Iterator[pa.RecordBatch], before: int, after: int) -> Iterator[pa.RecordBatch]:
+    """Per text of one partition, the ranges that place - before to place + after make up: first, end, first, end ..."""
+    packs = [row for batch in batches for row in batch.to_pylist()]
+    if not packs:
+        return
+    n = [_numbers(r["n"], np.uint32) for r in packs]
+    rid = np.concatenate([np.repeat(np.frombuffer(r["rid"], np.int64), k) for r, k in zip(packs, n, strict=True)])
+    tie = np.concatenate([np.repeat(_numbers(r["tie"], np.int32), k) for r, k in zip(packs, n, strict=True)])
+    place = np.concatenate([_numbers(r["place"], np.uint32).astype(np.int64) for r in packs])
     order = np.lexsort((place, tie, rid))
     rid, tie, place = rid[order], tie[order], place[order]
-    fresh = np.flatnonzero(np.concatenate([[True], (rid[1:] != rid[:-1]) | (tie[1:] != tie[:-1])])[: len(rid)])
-    ends = np.append(fresh, len(rid))
-    for at in range(0, len(fresh), 20_000):
-        lo, hi = at, min(at + 20_000, len(fresh))
-        lists = pa.ListArray.from_arrays(pa.array((ends[lo : hi + 1] - ends[lo]).astype(np.int32)), pa.array(place[ends[lo] : ends[hi]].astype(np.int32)))
-        yield pa.RecordBatch.from_arrays([pa.array(rid[fresh[lo:hi]]), pa.array(tie[fresh[lo:hi]].astype(np.int32)), lists], names=["rid", "tie", "at"])
+    first, end = np.maximum(place - before, 0), place + after + 1
+    fresh = np.concatenate([[True], (rid[1:] != rid[:-1]) | (tie[1:] != tie[:-1])])
+    cut = fresh.copy()
+    cut[1:] |= first[1:] > end[:-1]
+    begin = np.flatnonzero(cut)
+    flat = np.stack([first[begin], end[np.append(begin[1:], len(place)) - 1]], 1).astype(np.int32).ravel()
+    doc = np.flatnonzero(fresh)
+    ends = 2 * np.append(np.searchsorted(begin, doc), len(begin))
+    for at in range(0, len(doc), 20_000):
+        lo, hi = at, min(at + 20_000, len(doc))
+        lists = pa.ListArray.from_arrays(pa.array((ends[lo : hi + 1] - ends[lo]).astype(np.int32)), pa.array(flat[ends[lo] : ends[hi]]))
+        yield pa.RecordBatch.from_arrays([pa.array(rid[doc[lo:hi]]), pa.array(tie[doc[lo:hi]]), lists], names=["rid", "tie", "at"])
 
 
 def _text(batch: pa.RecordBatch, name: str) -> pa.RecordBatch:
@@ -173,38 +209,33 @@ def _anchors(batches: Iterator[pa.RecordBatch], window: int, parts: int) -> Iter
     yield from pack.flush()
 
 
-def _spots(batch: pa.RecordBatch, w: tc.Words) -> np.ndarray:
-    """Numbers of the words at the places of the list `at`."""
-    spots = batch.column("at")
-    off = np.concatenate([[0], np.cumsum(_ints(spots.value_lengths().fill_null(0)))])
-    return w.first[:-1][np.repeat(np.arange(batch.num_rows), np.diff(off))] + _ints(spots.flatten())
+def _marked(batch: pa.RecordBatch, w: tc.Words) -> np.ndarray:
+    """Words that lie in the ranges `at` of their texts."""
+    ranges = batch.column("at")
+    n = _ints(ranges.value_lengths().fill_null(0))
+    places = np.repeat(w.first[:-1], n) + _ints(ranges.flatten())
+    mark = np.zeros(len(w.start) + 1, np.int32)
+    np.add.at(mark, places[0::2], 1)
+    np.add.at(mark, np.minimum(places[1::2], np.repeat(w.first[1:], n)[1::2]), -1)
+    return np.cumsum(mark)[:-1] > 0
 
 
 def _candidates(batches: Iterator[pa.RecordBatch], window: int, parts: int, text_col: str) -> Iterator[pa.RecordBatch]:
-    """The windows that hold an anchor of the list `at`."""
-    period, _ = cover_for(window)
+    """The windows that start in the ranges `at`."""
     pack = _Packer(parts, False)
     for batch in tc.slices(_text(b, text_col) for b in batches):
         w = tc.words(*tc.utf8(batch.column("text")), tc.SOLID)
         hashes = tc.runs(w.hashes(), window)
         owner = np.repeat(np.arange(batch.num_rows), w.counts)
-        spots = _spots(batch, w)
-        mark = np.zeros(len(w.start) + 1, np.int32)  # a window may start at up to period - 1 words before an anchor
-        np.add.at(mark, np.maximum(spots - period + 1, w.first[:-1][owner[spots]]), 1)
-        np.add.at(mark, spots + 1, -1)
-        at = np.flatnonzero((np.cumsum(mark)[:-1] > 0) & (np.arange(len(w.start)) + window <= w.first[1:][owner]))
+        at = np.flatnonzero(_marked(batch, w) & (np.arange(len(w.start)) + window <= w.first[1:][owner]))
         yield from pack.add(hashes[at], batch, owner[at], at - w.first[:-1][owner[at]])
     yield from pack.flush()
 
 
-def _cut(batches: Iterator[pa.RecordBatch], window: int, text_col: str) -> Iterator[pa.RecordBatch]:
+def _cut(batches: Iterator[pa.RecordBatch], text_col: str) -> Iterator[pa.RecordBatch]:
     for batch in tc.slices(_text(b, text_col) for b in batches):
         w = tc.words(*tc.utf8(batch.column("text")), tc.SOLID)
-        place = _spots(batch, w)
-        mark = np.zeros(len(w.start) + 1, np.int32)
-        np.add.at(mark, place, 1)
-        np.add.at(mark, place + window, -1)
-        gone = np.cumsum(mark)[:-1] > 0
+        gone = _marked(batch, w)
         removed = tc.segment_sums(gone, w.first)
         # Words that stay, each but the last of a text with the white space after it as one blank.
         stay = np.flatnonzero(~gone)
@@ -236,14 +267,16 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     rows = rows.select("doc", F.coalesce(F.col("doc").getField(id_col).cast("long"), F.lit(-(1 << 63))).alias("rid"), F.hash(text).alias("tie"))
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
-    def lists(packs: DataFrame, all_known: bool) -> DataFrame:
-        """The places of each text."""
-        found = packs.repartitionById(parts, "part").mapInArrow(lambda it: _settle(it, all_known), _LISTS)
-        return found.groupBy("rid", "tie").agg(F.flatten(F.collect_list("at")).alias("at")).hint("shuffle_hash")
+    period, _ = cover_for(window)
+
+    def ranges(packs: DataFrame, all_known: bool, before: int, after: int) -> DataFrame:
+        """Ranges of each text around the settled places; one row for each text."""
+        places = packs.repartitionById(parts, "part").mapInArrow(lambda it: _settle(it, all_known, parts), _PLACES)
+        return places.repartitionById(parts, "part").mapInArrow(lambda it: _merge(it, before, after), _RANGES).hint("shuffle_hash")
 
     anchors = rows.select("rid", "tie", text.alias("text")).mapInArrow(lambda it: _anchors(it, window, parts), _PACK)
-    near = rows.join(lists(anchors, True), ["rid", "tie"]).select("doc", "rid", "tie", "at")
+    near = rows.join(ranges(anchors, True, period - 1, 0), ["rid", "tie"]).select("doc", "rid", "tie", "at")
     windows = near.mapInArrow(lambda it: _candidates(it, window, parts, text_col), _PACK)
-    last = rows.join(lists(windows, False), ["rid", "tie"], "left").select("doc", "at")
+    last = rows.join(ranges(windows, False, 0, window - 1), ["rid", "tie"], "left").select("doc", "at")
     schema = T.StructType([rows.schema["doc"], *T._parse_datatype_string("n_words long, n_removed long, spans array<struct<first:long,last:long>>, kept string").fields])
-    return last.mapInArrow(lambda it: _cut(it, window, text_col), schema)
+    return last.mapInArrow(lambda it: _cut(it, text_col), schema)
