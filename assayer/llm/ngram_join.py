@@ -183,7 +183,8 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     small, other = F.col("size") <= block, F.col("other").cast("long")
     spread = members.withColumn("other", F.explode(F.when(small, F.array(F.lit(0))).otherwise(F.sequence(F.lit(0), blocks - 1)))).withColumn("cross", ~small & (other != F.col("side")))
     spread = spread.withColumn("g", F.when(small, F.pmod(F.xxhash64("root"), F.lit(groups))).otherwise(F.xxhash64("root", F.least("side", other), F.greatest("side", other))))
-    spread = spread.join(texts, ["rid", "tx"]).dropDuplicates(["cls", "other"])
+    # The candidates grow with the corpus: both sides are shuffled at any size, never broadcast.
+    spread = texts.join(spread.hint("shuffle_hash"), ["rid", "tx"]).dropDuplicates(["cls", "other"])
     found = written(spread.select("g", "cls", "copies", "side", "cross", "text").groupBy("g").applyInArrow(lambda t: _block(t, n, bands, rows, threshold, tolerance), "u long, v long, n long"))
 
     links = found.where("v is null").groupBy(F.col("u").alias("cls")).agg(F.sum("n").alias("links"))
