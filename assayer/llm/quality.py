@@ -100,7 +100,9 @@ class FactorisationMachine:
 
     def fit(self, texts: pa.Array, labels: np.ndarray, epochs: int = 12, batch: int = 64, rate: float = 0.08, decay: float = 1e-4) -> None:
         """Logistic loss by Adagrad; a batch weighs both labels alike on average, then the offset is fitted to the sample."""
-        number, x, first = self.features(texts)
+        parts = [self.features(t) for t in tc.pieces(texts)]
+        number, x = (np.concatenate([p[k] for p in parts]) for k in (0, 1))
+        first = np.concatenate([[0], np.cumsum(np.concatenate([np.diff(p[2]) for p in parts]))])
         rng = np.random.default_rng(2)
         gw, gv, g0 = np.full_like(self.w, 1e-6), np.full_like(self.v, 1e-6), 1e-6
         for _ in range(epochs):
@@ -144,7 +146,7 @@ def train(sample: pa.Table, buckets: int = 1 << 15, rank: int = 8, bins: int = 1
     if len(set(labels.tolist())) < 2:
         return Constant(float(labels[0]) if len(labels) else 0.5)
     texts = sample.column("text").combine_chunks()
-    stats = statistics(texts)[0]
+    stats = np.concatenate([statistics(t)[0] for t in tc.pieces(texts)])
     fm = FactorisationMachine([np.unique(np.quantile(s, np.arange(1, bins) / bins)) for s in stats.T], buckets, rank)
     fm.fit(texts, labels)
     return fm

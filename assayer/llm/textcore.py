@@ -167,6 +167,12 @@ def slices(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iterator[
             at = to
 
 
+def pieces(texts: pa.Array) -> Iterator[pa.Array]:
+    """The texts in parts of about SLICE_BYTES (or one text)."""
+    for batch in slices(iter([pa.RecordBatch.from_arrays([texts], ["text"])])):
+        yield batch.column(0)
+
+
 def segment_sums(values: np.ndarray, first: np.ndarray) -> np.ndarray:
     """Sums of values[first[d]:first[d+1]] for each d, empty ones too."""
     sums = np.concatenate([[0], np.cumsum(values)])
