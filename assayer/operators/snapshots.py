@@ -8,10 +8,13 @@ from pyspark.sql import functions as F
 from .findings import Table
 
 
+def _profile_aggs(fields: list[str], types: bool) -> list:
+    return [F.struct(F.lit(f).alias("field"), F.count(F.lit(1)).alias("nrows"), F.count_distinct(F.col(f"`{f}`")).alias("ndist"), F.count_if(F.col(f"`{f}`").isNull()).alias("missing"), (F.sort_array(F.collect_set(F.col("types").getField(f))) if types else F.array().cast("array<string>")).alias("types")).alias(f"_{i}") for i, f in enumerate(fields)]
+
+
 def field_profile(df: DataFrame, fields: list[str], types: bool = False) -> DataFrame:
     """field, nrows, ndist, missing (and the storage types) of each field, from one scan."""
-    aggs = [F.struct(F.lit(f).alias("field"), F.count(F.lit(1)).alias("nrows"), F.count_distinct(F.col(f"`{f}`")).alias("ndist"), F.count_if(F.col(f"`{f}`").isNull()).alias("missing"), (F.sort_array(F.collect_set(F.col("types").getField(f))) if types else F.array().cast("array<string>")).alias("types")).alias(f"_{i}") for i, f in enumerate(fields)]
-    return df.agg(*aggs).select(F.explode(F.array(*[F.col(f"_{i}") for i in range(len(fields))])).alias("p")).select("p.*")
+    return df.agg(*_profile_aggs(fields, types)).select(F.explode(F.array(*[F.col(f"_{i}") for i in range(len(fields))])).alias("p")).select("p.*")
 
 
 def table_extent(cells: DataFrame, keys: list[str], row: str = "row") -> DataFrame:
@@ -19,14 +22,14 @@ def table_extent(cells: DataFrame, keys: list[str], row: str = "row") -> DataFra
     return cells.groupBy(*keys).agg(F.max(row).alias("height"), F.count(F.lit(1)).alias("cells"))
 
 
-def content_digest(cells: DataFrame) -> str:
-    """A digest of all cells that doesn't depend on their order: digests of rows are sorted by place within each row, then rows are summed up."""
+def content_digests(cells: DataFrame) -> dict[str, str]:
+    """For each sheet a digest of its cells that doesn't depend on the order of rows: the digests of cells, with their places, are summed up."""
     fields = [c for c in ("row", "col", "type", "value", "formula") if c in cells.columns]
     line = F.sha2(F.to_json(F.struct(*fields)), 256)
     # Sums of 60-bit parts of the digests, so no task holds all of them.
-    parts = [F.sum(F.conv(F.substring(line, 1 + 15 * k, 15), 16, 10).cast("decimal(38,0)")).alias(f"p{k}") for k in range(4)]
-    sums = cells.agg(F.count(F.lit(1)).alias("n"), *parts)
-    return sums.select(F.sha2(F.concat_ws(":", *[F.col(c).cast("string") for c in sums.columns]), 256)).first()[0]
+    parts = [F.sum(F.conv(F.substring("_l", 1 + 15 * k, 15), 16, 10).cast("decimal(38,0)")).alias(f"p{k}") for k in range(4)]
+    sums = cells.select("sheet", line.alias("_l")).groupBy("sheet").agg(F.count(F.lit(1)).alias("n"), *parts)
+    return {r[0]: r[1] for r in sums.select("sheet", F.sha2(F.concat_ws(":", *[F.col(c).cast("string") for c in sums.columns[1:]]), 256)).collect()}
 
 
 def record_changes(before: DataFrame, after: DataFrame, keys: list[str], fields: list[str] | None = None) -> DataFrame:
@@ -45,13 +48,13 @@ def has_row_keys(df: DataFrame, key: str) -> bool:
     return not worst[1] and (worst[0] or 0) <= 1
 
 
-def inventory(tables: dict[str, Table], cells: dict[str, DataFrame] | None = None) -> list[dict]:
-    """One entry for each sheet: role, extent, fields with storage types and missing values, key and digest."""
+def inventory(tables: dict[str, Table], cells: DataFrame | None = None) -> list[dict]:
+    """One entry for each sheet: role, extent, fields with storage types and missing values, key and digest of its cells."""
+    digests = content_digests(cells) if cells is not None else {}
     out = []
     for t in tables.values():
         fields = {r["field"]: {"types": r["types"], "missing": r["missing"]} for r in field_profile(t.frame, t.fields, types=True).collect()} if t.fields else {}
-        digest = content_digest(cells[t.name]) if cells and t.name in cells else content_digest(t.frame.select(F.col("source_row").alias("row"), F.to_json(F.struct(*[f"`{f}`" for f in t.fields])).alias("value")) if t.fields else t.frame.select(F.col("source_row").alias("row")))
-        out.append({"sheet": t.name, "role": t.role, "rows": t.rows, "columns": t.columns, "fields": t.fields, "excluded_fields": t.excluded, "key_field": t.key_field, "key_scope": t.key_scope, "field_profile": fields, "content_sha256": digest})
+        out.append({"sheet": t.name, "role": t.role, "rows": t.rows, "columns": t.columns, "fields": t.fields, "excluded_fields": t.excluded, "key_field": t.key_field, "key_scope": t.key_scope, "field_profile": fields, "content_sha256": digests.get(t.name, "")})
     return out
 
 
