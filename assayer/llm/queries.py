@@ -68,7 +68,7 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .decontamination import find_leaks
 
     out = find_leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
-    return out.select(F.col("doc.doc_id").alias("doc_id"), F.size("leaks").cast("long").alias("n_leaks"), F.col("leaks.item_id").alias("item_ids"), F.coalesce(F.array_max("leaks.share"), F.lit(0.0)).alias("max_share"))
+    return out.select(F.col("doc.doc_id").alias("doc_id"), F.size("leaks").cast("long").alias("n_leaks"), F.array_join("leaks.item_id", ",").alias("item_ids"), F.coalesce(F.array_max("leaks.share"), F.lit(0.0)).alias("max_share"))
 
 
 def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -129,8 +129,8 @@ ds as (select distinct doc_id, array_to_string(w[i : i + 4], ' ') as g from (sel
 bs as (select distinct item_id, array_to_string(w[i : i + 4], ' ') as g from (select item_id, w, unnest(range(1, len(w) - 3)) as i from b)),
 n as (select item_id, count(*) as n from bs group by item_id),
 m as (select doc_id, item_id, count(*) / n as share from ds join bs using (g) join n using (item_id) group by doc_id, item_id, n having count(*) >= 0.8 * n),
-l as (select doc_id, count(*) as n_leaks, list(item_id order by item_id) as item_ids, max(share) as max_share from m group by doc_id)
-select doc_id, coalesce(n_leaks, 0) as n_leaks, coalesce(item_ids, []) as item_ids, coalesce(max_share, 0.0) as max_share from documents left join l using (doc_id)""",
+l as (select doc_id, count(*) as n_leaks, string_agg(cast(item_id as varchar), ',' order by item_id) as item_ids, max(share) as max_share from m group by doc_id)
+select doc_id, coalesce(n_leaks, 0) as n_leaks, coalesce(item_ids, '') as item_ids, coalesce(max_share, 0.0) as max_share from documents left join l using (doc_id)""",
     "op6_ngram_join": r"""
 with recursive d as (select doc_id, regexp_extract_all(lower(coalesce(text, '')), '[0-9a-z_\x{80}-\x{10FFFF}]+') as w from documents),
 s as (select distinct doc_id, array_to_string(w[i : i + 4], ' ') as g from (select doc_id, w, unnest(range(1, greatest(len(w) - 3, case when len(w) > 0 then 2 else 1 end))) as i from d)),
