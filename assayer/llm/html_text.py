@@ -24,6 +24,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .samples import _SPAN
+
 # HTML's element names by what they mean here.
 BLOCKS = set("address article aside blockquote body br caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html li main menu nav ol option p pre section summary table tbody td tfoot th thead tr ul".split())
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
@@ -204,11 +206,12 @@ def extract(page: str | None, weights: Weights) -> str:
 
 
 def train(pages: DataFrame, html_col: str = "html", id_col: str = "page_id", rows: int = 400, max_chars: int = 200_000) -> Weights:
-    """Weights from about `rows` pages that mark their content, chosen by a hash of id and page; pages above max_chars aren't sampled."""
+    """Weights from those of about `rows` pages, chosen by a hash of the id, that mark their content; pages above max_chars aren't sampled."""
     page = F.col(f"`{html_col}`").cast("string")
-    marked = pages.where(page.rlike("(?i)<(article|main)[\\s>]") & (F.char_length(page) <= max_chars)).select(F.xxhash64(F.col(f"`{id_col}`"), page).alias("h"), page.alias("page"))
-    # The least hashes: each task keeps at most `rows` of its own.
-    return Weights([r["page"] for r in marked.orderBy("h").limit(rows).collect()])
+    least = min(_SPAN, rows * _SPAN // max(1, pages.count()))
+    chosen = pages.where(F.pmod(F.xxhash64(F.col(f"`{id_col}`"), F.lit("page")), F.lit(_SPAN)) < least)
+    marked = chosen.where(page.rlike("(?i)<(article|main)[\\s>]") & (F.char_length(page) <= max_chars))
+    return Weights([r["page"] for r in marked.select(page.alias("page")).collect()])
 
 
 def main_text(pages: DataFrame, weights: Weights, html_col: str = "html") -> DataFrame:
