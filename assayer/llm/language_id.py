@@ -124,11 +124,12 @@ def has_letter(texts: pa.Array, data: np.ndarray, off: np.ndarray) -> np.ndarray
     return out
 
 
-def train(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", id_col: str = "doc_id", texts_per_lang: int = 400, max_chars: int = 100_000) -> Model:
-    """Trees from about texts_per_lang rows of each language, chosen by a hash of id and text; texts above max_chars aren't sampled."""
+def train(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", id_col: str = "doc_id", texts_per_lang: int = 400, max_chars: int = 100_000, max_langs: int = 256) -> Model:
+    """Trees of the max_langs most frequent languages, from about texts_per_lang rows of each, chosen by a hash of the id; texts above max_chars aren't sampled."""
     rows = docs.select(F.col(f"`{lang_col}`").cast("string").alias("lang"), F.col(f"`{text_col}`").cast("string").alias("text"), F.pmod(F.xxhash64(F.col(f"`{id_col}`"), F.lit("lang")), F.lit(_SPAN)).alias("chance")).where("lang is not null and text is not null")
-    counts = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
-    least = counts.select("lang", (F.least(F.lit(1.0), texts_per_lang / F.col("n")) * _SPAN).alias("least"))
+    counts = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(max_langs).collect()
+    # At most max_langs rows: texts aren't shuffled to meet them.
+    least = F.broadcast(docs.sparkSession.createDataFrame([(r["lang"], min(_SPAN, texts_per_lang * _SPAN // r["n"])) for r in counts], "lang string, least long"))
     sample = rows.join(least, "lang").where(F.col("chance") < F.col("least")).where(F.char_length("text") <= max_chars).orderBy("lang", "chance", "text").select("lang", "text").toArrow()
     langs = sample.column("lang").to_pylist()
     texts = sample.column("text").combine_chunks() if sample.num_rows else pa.array([], pa.string())
