@@ -36,11 +36,13 @@ def distinct_rows(texts: pa.Array) -> list[int]:
     from . import textcore as tc
     from .ngram_join import band_keys, signatures
 
-    w = tc.normal_words(texts)
-    keys = band_keys(signatures(*tc.shingles(w.hashes(), w.first, 3), 12), 4, 3)
+    keys = []
+    for part in tc.pieces(texts):
+        w = tc.normal_words(part)
+        keys += band_keys(signatures(*tc.shingles(w.hashes(), w.first, 3), 12), 4, 3).tolist()
     seen: set[int] = set()
     out = []
-    for i, row in enumerate(keys.tolist()):
+    for i, row in enumerate(keys):
         if not seen.intersection(row):
             out.append(i)
         seen.update(row)

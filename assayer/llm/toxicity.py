@@ -168,7 +168,7 @@ class ToxicityModel:
         return 1 / (1 + np.exp(-np.clip(self.evidence(texts) @ self.weights + self.offset, -30, 30)))
 
     def fit(self, texts: pa.Array, labels: np.ndarray, steps: int = 400, rate: float = 0.5, pull: float = 0.002) -> None:
-        x, prior = self.evidence(texts), self.weights.copy()
+        x, prior = np.concatenate([self.evidence(t) for t in tc.pieces(texts)]), self.weights.copy()
         share = np.where(labels == 1, 0.5 / max(1, (labels == 1).sum()), 0.5 / max(1, (labels == 0).sum()))
         for _ in range(steps):
             err = (1 / (1 + np.exp(-np.clip(x @ self.weights + self.offset, -30, 30))) - labels) * share
