@@ -23,7 +23,8 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-SAMPLES = 64
+#: Samples of a fingerprint. More than about 24 in one aggregation make its generated code too large for the JVM to compile.
+SAMPLES = 24
 _CELLS = 256
 
 
