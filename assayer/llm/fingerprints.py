@@ -78,15 +78,16 @@ def _sample(term: Column, log_w: Column, k: int, tables: tuple[Column, ...]) ->
 
 
 def with_terms(rows: DataFrame, text: str) -> DataFrame:
-    """rows exploded to one row per term: term (56 bits of a hash, 8 of the length), log_w.  A text without terms has one row of nulls."""
+    """rows exploded to one row per term: term (64 bits of a hash), log_w.  A text without terms has one row of nulls."""
     word = F.filter(F.split(text, r"[\s]+"), lambda w: w != "")
-    # The length stands in the hash's lowest byte, so sorted numbers carry both.
-    ids = F.transform(word, lambda w: F.xxhash64(w).bitwiseAND(F.lit(-256).cast("long")).bitwiseOR(F.least(F.char_length(w), F.lit(255)).cast("long")))
+    ids = F.transform(word, lambda w: F.struct(F.xxhash64(w).alias("id"), F.char_length(w).alias("chars")))
     rows = rows.withColumn("_s", F.sort_array(ids)).drop(text)
     n = F.size("_s")
-    rows = rows.withColumn("_at", F.when(n > 0, F.filter(F.sequence(F.lit(0), n - 1), lambda i: (i == 0) | (F.get("_s", i) != F.get("_s", i - 1)))))
-    rows = rows.withColumn("_term", F.explode_outer(F.transform("_at", lambda x, i: F.struct(F.get("_s", x).alias("id"), (F.coalesce(F.get("_at", i + 1), F.size("_s")) - x).alias("n")))))
-    return rows.withColumn("term", F.col("_term.id")).withColumn("log_w", F.log(F.col("_term.n") * F.col("_term.id").bitwiseAND(F.lit(255).cast("long")).cast("double"))).drop("_s", "_at", "_term")
+    first = lambda i: F.get("_s", i).getField("id") != F.get("_s", i - 1).getField("id")
+    rows = rows.withColumn("_at", F.when(n > 0, F.filter(F.sequence(F.lit(0), n - 1), lambda i: (i == 0) | first(i))))
+    term = lambda x, i: F.struct(F.get("_s", x).alias("w"), (F.coalesce(F.get("_at", i + 1), F.size("_s")) - x).alias("n"))
+    rows = rows.withColumn("_term", F.explode_outer(F.transform("_at", term)))
+    return rows.withColumn("term", F.col("_term.w.id")).withColumn("log_w", F.log(F.col("_term.n").cast("double") * F.col("_term.w.chars"))).drop("_s", "_at", "_term")
 
 
 def signatures(terms: DataFrame, keys: list[str], samples: int = SAMPLES) -> DataFrame:

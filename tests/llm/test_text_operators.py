@@ -282,6 +282,14 @@ def test_fingerprints(spark):
     assert fingerprints.edited_fingerprints(df.limit(0), samples=4).count() == 0
 
 
+def test_fingerprints_weigh_long_words_in_full(spark):
+    shared = " ".join(f"word{k:03}" for k in range(188))
+    df = spark.createDataFrame([(1, shared + " " + "x" * 10_000), (2, shared + " " + "y" * 10_000)], "k int, text string")
+    a, b = (r.sig for r in fingerprints.fingerprint(df, "k", "text", samples=24).collect())
+    # The generalised Jaccard similarity is 1316 / 21316; with weights of at most 255 it would be 0.72.
+    assert sum(x == y for x, y in zip(a, b, strict=True)) / 24 < 0.35
+
+
 def test_gamma_quantiles():
     x = fingerprints._gamma2_quantile(0.5)
     assert 1 - (1 + x) * np.exp(-x) == pytest.approx(0.5)
