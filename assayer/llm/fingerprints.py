@@ -9,8 +9,8 @@ similarity (sum of least over sum of greatest weights) of their terms, so the sh
 a standard error of at most 0.5 / sqrt(samples).
 
 r and ln c come from tables of quantiles with linear interpolation; ln c has finer ones for its lower tail, from which the
-winners come.  ln a (24 bits after the point) and a 32-bit hash of (term, t) are one long, so a sample is a plain min, and
-all samples are one hash aggregation in generated code.
+winners come.  ln a (24 bits after the point) and a 32-bit hash of (term, t) are one long, so a sample is a plain min.  The
+samples are hash aggregations in generated code by key and block of samples, which are put together by key afterwards.
 
 Defined results: a null text is an empty one; a text without terms has an empty fingerprint, which is like another empty
 one (1) and unlike all others (0).
@@ -23,8 +23,10 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Samples of a fingerprint. More than about 24 in one aggregation make its generated code too large for the JVM to compile.
-SAMPLES = 24
+#: Samples of a fingerprint.
+SAMPLES = 64
+#: Most samples of one block: more minima in one aggregation make its generated code too large for the JVM to compile.
+_BLOCK = 24
 _CELLS = 256
 
 
@@ -60,10 +62,10 @@ def _bits(x: Column, at: int, n: int) -> Column:
     return F.shiftrightunsigned(x, at).bitwiseAND(F.lit((1 << n) - 1).cast("long"))
 
 
-def _sample(term: Column, log_w: Column, k: int, tables: tuple[Column, ...]) -> Column:
+def _sample(term: Column, log_w: Column, k: Column, tables: tuple[Column, ...]) -> Column:
     """One long of a term for sample k: the smallest of a text tells its (term, t)."""
     r0, r1, c0, c1 = tables
-    x = F.xxhash64(term, F.lit(k))
+    x = F.xxhash64(term, k)
     # Bits: 8 + 8 + 8 for the cells of ln c, 12 inside its cell, 8 + 8 for r, 12 for b.
     cell = F.when(_bits(x, 0, 8) > 0, _bits(x, 0, 8)).when(_bits(x, 8, 8) > 0, _bits(x, 8, 8) + _CELLS).otherwise(_bits(x, 16, 8) + 2 * _CELLS).cast("int")
     i = _bits(x, 36, 8).cast("int")
@@ -93,9 +95,15 @@ def with_terms(rows: DataFrame, text: str) -> DataFrame:
 def signatures(terms: DataFrame, keys: list[str], samples: int = SAMPLES) -> DataFrame:
     """Samples of each key as an array `sig` of hashes of (term, t); null for a text without terms."""
     tables = tuple(_array(x) for x in _tables())
-    out = terms.groupBy(*keys).agg(*[F.min(_sample(F.col("term"), F.col("log_w"), k, tables)).alias(f"_{k}") for k in range(samples)])
-    token = lambda k: F.col(f"_{k}").bitwiseAND(F.lit(0xFFFFFFFF).cast("long"))
-    return out.select(*keys, F.when(F.col("_0").isNotNull(), F.array(*[token(k) for k in range(samples)])).alias("sig"))
+    blocks = -(-samples // _BLOCK)
+    width = -(-samples // blocks)
+    # Sample k has the same value in whatever block it lies.
+    blocked = terms.withColumn("_block", F.explode(F.array(*[F.lit(i) for i in range(blocks)])))
+    minima = blocked.groupBy(*keys, "_block").agg(*[F.min(_sample(F.col("term"), F.col("log_w"), F.col("_block") * width + j, tables)).alias(f"_{j}") for j in range(width)])
+    token = lambda j: F.col(f"_{j}").bitwiseAND(F.lit(0xFFFFFFFF).cast("long"))
+    part = minima.select(*keys, "_block", F.when(F.col("_0").isNotNull(), F.array(*[token(j) for j in range(width)])).alias("_part"))
+    whole = part.groupBy(*keys).agg(*[F.max(F.when(F.col("_block") == i, F.col("_part"))).alias(f"_{i}") for i in range(blocks)])
+    return whole.select(*keys, F.slice(F.concat(*[F.col(f"_{i}") for i in range(blocks)]), 1, samples).alias("sig"))
 
 
 def as_text(sig: Column | str) -> Column:
@@ -146,7 +154,7 @@ def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     edited = F.concat(F.substring(F.col("text"), F.lit(1), size - half), F.substring(F.coalesce("next", F.lit("")), F.lit(1), half))
     rows = rows.select("b", "rn", "extra", "doc_id", size.cast("long").alias("n_chars"), "text", edited.alias("edited"))
     rows = rows.select("b", "rn", "extra", "doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), F.posexplode(F.when(F.col("extra") == 1, F.array("text")).otherwise(F.array("text", "edited"))).alias("side", "t"))
-    sigs = signatures(with_terms(rows, "t"), ["b", "rn", "extra", "doc_id", "n_chars", "edited_sha256", "side"], samples)
+    sigs = signatures(with_terms(rows, "t"), ["b", "rn", "side", "extra", "doc_id", "n_chars", "edited_sha256"], samples)
     along = Window.partitionBy("b").orderBy("rn", "side")
     sigs = sigs.select("*", F.lead("sig", 1).over(along).alias("sig1"), F.lead("sig", 2).over(along).alias("sig2")).where("side = 0 and extra = 0")
     return sigs.select("doc_id", "n_chars", "edited_sha256", as_text("sig").alias("fingerprint"), as_text("sig1").alias("edited_fingerprint"), likeness("sig", "sig1").alias("near_edited"), likeness("sig", "sig2").alias("near_next"))

@@ -290,6 +290,12 @@ def test_fingerprints_weigh_long_words_in_full(spark):
     assert sum(x == y for x, y in zip(a, b, strict=True)) / 24 < 0.35
 
 
+def test_fingerprints_have_all_samples(spark):
+    df = spark.createDataFrame([(1, "some words and some more"), (2, None)], "k int, text string")
+    one, many = ({r.k: r.sig for r in fingerprints.fingerprint(df, "k", "text", *n).collect()} for n in ((10,), ()))
+    assert len(many[1]) == 64 and many[1][:10] == one[1] and many[2] is one[2] is None
+
+
 def test_gamma_quantiles():
     x = fingerprints._gamma2_quantile(0.5)
     assert 1 - (1 + x) * np.exp(-x) == pytest.approx(0.5)
