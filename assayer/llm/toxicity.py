@@ -52,6 +52,18 @@ _STEMS = range(4, 9)  # bytes
 _CLAUSE, _WORD = re.compile(r"[.!?;:,\n\r]+"), re.compile(r"\w+")
 
 
+def grammar_words(texts: pa.Array) -> tc.Words:
+    """The words that the grammar reads: the same lower case and the same cuts."""
+    texts = pc.fill_null(texts, "")
+    plain = pc.string_is_ascii(texts)
+    lowered = pc.ascii_lower(texts)
+    if not pc.all(plain, min_count=0).as_py():
+        # Beyond ASCII only Python's own rules tell letters from marks.
+        other = [" ".join(_WORD.findall(t.lower())) for t in texts.filter(pc.invert(plain)).to_pylist()]
+        lowered = pc.replace_with_mask(lowered, pc.invert(plain), pa.array(other, texts.type))
+    return tc.words(*tc.utf8(lowered), tc.ALNUM)
+
+
 def grammar() -> Transducer:
     """The composed transducer; each label in, one event or "" out, with the event's weight."""
     hits = ("INSULT", "THREAT")
@@ -96,7 +108,7 @@ class Lexicon:
         self.insults, self.stems = set(words), {s for s in stems if len(s.encode()) in _STEMS}
         self.others = {w: label for label, of in (("SPEECH", SPEECH), ("NEGATION", NEGATIONS), ("TARGET", TARGETS), ("THREAT", THREATS)) for w in of}
         hits = [*sorted(self.insults), *THREATS]
-        one = tc.normal_words(pa.array([" ".join(hits)]))
+        one = grammar_words(pa.array([" ".join(hits)]))
         self.hashes = np.unique(one.hashes())
         self.filter = np.zeros(1 << 16, bool)
         self.filter[(self.hashes & tc.U(0xFFFF)).astype(np.int64)] = True
@@ -111,7 +123,7 @@ class Lexicon:
         return "INSULT" if any(raw[:m].decode(errors="ignore") in self.stems for m in _STEMS if len(raw) >= m) else "OTHER"
 
     def matched(self, w: tc.Words) -> np.ndarray:
-        """Texts that may hold an insult or a threat."""
+        """Texts that hold an insult or a threat, by their words as the grammar cuts them."""
         out = np.zeros(len(w.first) - 1, bool)
         if not len(w.start):
             return out
@@ -156,7 +168,7 @@ class ToxicityModel:
 
     def evidence(self, texts: pa.Array) -> np.ndarray:
         out = np.zeros((len(texts), len(EVENTS)))
-        for i in np.flatnonzero(self.lexicon.matched(tc.normal_words(texts))):
+        for i in np.flatnonzero(self.lexicon.matched(grammar_words(texts))):
             for _, events, weight in self.clauses(texts[int(i)].as_py()):
                 # The clause's weight goes to its events in proportion to theirs.
                 total = sum(PRIOR[e] for _, e in events)

@@ -231,6 +231,15 @@ def test_toxicity_grammar():
     assert model.grammar.run(["TARGET", "INSULT"])[1] == toxicity.PRIOR["targeted"]
 
 
+def test_toxicity_evidence_is_the_grammar_whatever_marks_touch_a_word():
+    model = toxicity.ToxicityModel(toxicity.Lexicon({"idiot", "connard", "ηλιθιος"}, {"vequ"}))
+    marks = ["", "\u201c", "\u201d", "\u2019", "\u00a0", "\u2014", "\u2026", "\u00ab", "\u00bf", "\u3000", "\u0301", "\u0130", "é", "_", "."]
+    texts = [f"so {a}{w}{b} you" for a in marks for b in marks for w in ("idiot", "Connard", "vequaire", "kill", "ΗΛΙΘΙΟΣ", "tree")]
+    found = [any(True for _ in model.clauses(t)) for t in texts]
+    assert model.evidence(pa.array(texts)).any(axis=1).tolist() == found
+    assert sum(found) > len(texts) / 2
+
+
 def test_toxicity_learns_words_and_stems(spark):
     rng = random.Random(4)
     plain = lambda: " ".join(rng.choice(["maison", "arbre", "ville", "route", "soleil"]) + rng.choice("abc") for _ in range(40))
