@@ -29,16 +29,22 @@ from .samples import _SPAN
 # HTML's element names by what they mean here.
 BLOCKS = set("address article aside blockquote body br caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html li main menu nav ol option p pre section summary table tbody td tfoot th thead tr ul".split())
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
-SILENT = set("head script style noscript template svg math iframe object select textarea button canvas audio video title".split())
+SILENT = set("head script style noscript template iframe object select textarea button canvas audio video title annotation annotation-xml metadata desc".split())
 BOILER = set("nav header footer aside form menu dialog".split())
 CONTENT = ("article", "main")
-#: Words of class, id and role values that name boilerplate.
-BOILER_WORDS = set("ad ads adv advert adverts advertisement advertising banner sponsor sponsored promo promotion nav navbar navigation menu menubar breadcrumb breadcrumbs header masthead footer sidebar aside rail widget cookie cookies consent gdpr notice alert popup modal overlay newsletter subscribe subscription signup login share sharing social comment comments commentlist discussion respond replies disqus related recommended toolbar pagination pager skip banner complementary contentinfo search".split())
+#: Elements whose names can make them boilerplate; names of headings, paragraphs or inline elements say what they are about.
+CONTAINERS = set("div section ul ol dl table details fieldset center".split())
+#: Words that name boilerplate wherever they stand in a class, a role or the id of a container.
+BOILER_WORDS = set("ads advert adverts advertisement advertising sponsored nav navbar menubar breadcrumb breadcrumbs masthead sidebar gdpr newsletter commentlist disqus pagination pager".split())
+#: Classes and roles that name boilerplate as a whole; as parts of other names or as ids they may stand for a topic.
+BOILER_NAMES = set("ad adv banner sponsor promo navigation menu header footer aside widget cookie cookies consent popup modal subscribe signup login share sharing social comments respond replies related toolbar complementary contentinfo search".split())
+#: Ids that name boilerplate as a whole.
+BOILER_IDS = set("ad banner header footer menu navigation comments respond cookie cookies consent toolbar".split())
 _KEPT_OPEN = {"p": BLOCKS - {"br"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "tbody", "tfoot"}, "td": {"td", "th", "tr", "tbody", "tfoot"}, "th": {"td", "th", "tr", "tbody", "tfoot"}, "option": {"option"}}
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<![^>]*>|<\?[^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
-_NAMES = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
-_HIDDEN = re.compile(r"(?:\bhidden\b(?!\s*=\s*[\"']?until)|aria-hidden\s*=\s*[\"']?true|display\s*:\s*none)", re.I)
+_ATTRIBUTE = re.compile(r"([^\s\"'<>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
+_NO_DISPLAY = re.compile(r"(?:^|;)\s*display\s*:\s*none\b", re.I)
 _RAW = {name: re.compile(rf"</{name}\s*>", re.I) for name in ("script", "style", "textarea", "title", "noscript", "template", "iframe")}
 _PARTS = re.compile(r"[a-z]+")
 
@@ -55,7 +61,17 @@ def _is_boiler(name: str, attributes: str) -> bool:
         return True
     if name in ("html", "body", *CONTENT) or not attributes:
         return False
-    return any(not BOILER_WORDS.isdisjoint(_PARTS.findall(re.sub(r"([a-z])([A-Z])", r"\1 \2", a or b or c).lower())) for a, b, c in _NAMES.findall(attributes)) or bool(_HIDDEN.search(attributes))
+    for key, a, b, c in _ATTRIBUTE.findall(attributes):
+        key, value = key.lower(), (a or b or c).strip()
+        if key == "hidden" and not value.lower().startswith("until") or key == "aria-hidden" and value.lower() == "true" or key == "style" and _NO_DISPLAY.search(value):
+            return True
+        # The id of a section is its title.
+        if name in CONTAINERS and (key in ("class", "role") or key == "id" and name != "section"):
+            parts = _PARTS.findall(re.sub(r"([a-z])([A-Z])", r"\1 \2", value).lower())
+            whole = BOILER_IDS if key == "id" else BOILER_NAMES
+            if not BOILER_WORDS.isdisjoint(parts) or not whole.isdisjoint(value.lower().split()):
+                return True
+    return False
 
 
 def parse(page: str) -> tuple[list[tuple], list[Node]]:

@@ -37,6 +37,16 @@ def test_pages(weights):
     assert len(html_text.extract("<article>" + "<p>word word</p>" * 20_000 + "</article>", weights).split("\n")) == 20_000
 
 
+@pytest.mark.parametrize("kept", ['<div style="overflow:hidden">in it</div>', '<p><a href="/hidden-valley">in it</a></p>', '<p title="The hidden costs">in it</p>', '<p aria-hidden="false">in it</p>', '<p data-x="display:none">in it</p>', '<section id="discussion"><p>in it</p></section>', '<h2 id="search-trees">in it</h2>', '<div class="related-work">in it</div>', "<p><math><mi>in</mi> <mo>it</mo></math></p>", "<p><svg><text>in it</text></svg></p>"])
+def test_no_text_goes_for_a_likeness_of_names(weights, kept):
+    assert html_text.extract(f"<article><p>One two three.</p>{kept}<p>Four five six.</p></article>", weights) == "One two three.\nin it\nFour five six."
+
+
+@pytest.mark.parametrize("gone", ["<p hidden>out</p>", "<p hidden=''>out</p>", '<p aria-hidden="true">out</p>', '<p style="color:red; display: none">out</p>', '<div class="x ad">out</div>', '<div id="left-sidebar">out</div>', '<div role="search">out</div>', '<ul class="topNav"><li>out</li></ul>', '<div id="footer">out</div>'])
+def test_hidden_and_named_boilerplate_goes(weights, gone):
+    assert html_text.extract(f"<article><p>One two three.</p>{gone}<p>Four five six.</p></article>", weights) == "One two three.\nFour five six."
+
+
 def test_weights_have_their_signs(weights):
     assert weights.of("word") > 0 and all(w < 0 for k, w in weights.weights.items() if k != "word")
 
