@@ -1,28 +1,5 @@
-"""Cut lineage with tables in the folder that all executors share."""
+"""Cut lineage with tables in the folder that all executors share (see assayer.sources.durable)."""
 
-from __future__ import annotations
+from ..sources.durable import shared_folder, written
 
-import tempfile
-import uuid
-
-from pyspark.sql import DataFrame, SparkSession
-
-
-def shared_folder(spark: SparkSession) -> str:
-    """spark.checkpoint.dir of the session; where it is unset (tests), a folder of this machine."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        set_dir = spark.sparkContext._jsc.sc().getCheckpointDir()
-        folder = set_dir.get() if set_dir.isDefined() else "file://" + tempfile.mkdtemp(prefix="assayer-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
-
-
-def written(df: DataFrame) -> DataFrame:
-    """df as a Parquet table of the shared folder, deleted as the session ends: a lost executor costs no recomputation of what lies before."""
-    spark = df.sparkSession
-    path = f"{shared_folder(spark)}/assayer/{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    to = spark._jvm.org.apache.hadoop.fs.Path(path)
-    to.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(to)
-    return spark.read.schema(df.schema).parquet(path)
+__all__ = ["shared_folder", "written"]
