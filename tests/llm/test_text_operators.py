@@ -195,6 +195,13 @@ def test_language_id(spark):
     assert {r.lang_pred for r in untrained.collect()} == {"und"}
 
 
+@pytest.mark.parametrize("broadcast_langs", [10_000, 5])
+def test_all_languages_are_learned(spark, broadcast_langs):
+    rows = [(i, f"{'xyz'[i % 3] * 4} {i}", f"l{i // 2}") for i in range(600)]
+    model = language_id.train(spark.createDataFrame(rows, "doc_id long, text string, lang string"), broadcast_langs=broadcast_langs)
+    assert set(model.langs) == {f"l{k}" for k in range(300)}
+
+
 def test_factorisation_machine_identity():
     fm = quality.FactorisationMachine([np.array([1.0])], 8, 3)
     fm.w = np.arange(len(fm.w)) / 10
