@@ -14,8 +14,10 @@ one pass over the words whatever the number of classes.  The search is map-only:
 Items are sent to the tasks in blocks of at most `item_block`, one pass over the documents for each block, so what is
 broadcast has a bound that doesn't depend on the number of items.
 
-An item of containment t in a window of similarity J is missed with a probability of (1 - J) ** hashes: with J of 0.19
-(t = 0.8 in the least favourable place) and 64 hashes 1.4e-6.
+An item of containment t in a window of similarity J is missed with a probability of (1 - J) ** hashes: with J of 0.19 and
+64 hashes 1.4e-6.  Of an item with m distinct shingles a window that holds the share t has a J of at least t m / (2c + (1 - t) m).
+Items for which that is below 0.19 (those that repeat themselves) and all of up to six words are found exactly instead:
+their shingles' hashes are looked up among the documents', and those of which the share t is there are candidates.
 
 Defined results: null, empty or wordless texts hold nothing, and wordless items leak nowhere; an item of one to four words
 has one shingle, of all its words, and is found where a document has the same run of words; rows that share an id are
@@ -36,6 +38,8 @@ from . import textcore as tc
 from .ngram_join import permutations
 
 UNIT = 4
+#: Least similarity of a window for which MinHash is used, and most words of the items that never use it.
+LEAST_J, SHORT = 0.19, 6
 
 
 def size_class(words: int) -> int:
@@ -49,18 +53,26 @@ def size_class(words: int) -> int:
 class Items:
     """A block of items: shingles of each, and for each size class the MinHash values to look for."""
 
-    def __init__(self, ids: np.ndarray, texts: pa.Array, n: int, hashes: int):
+    def __init__(self, ids: np.ndarray, texts: pa.Array, n: int, hashes: int, threshold: float):
         w = tc.normal_words(texts)
-        self.ids, self.n, self.hashes = ids, n, hashes
+        self.ids, self.n, self.hashes, self.threshold = ids, n, hashes, threshold
         h = w.hashes()
         # Items below n words are looked for as runs of their own length.
         self.shingles = [np.unique(tc.runs(h[a:b], min(n, b - a))) for a, b in zip(w.first[:-1], w.first[1:], strict=True)]
         self.words = w.counts
         self.lengths = sorted({int(min(n, c)) for c in self.words if c})
         a, b = permutations(hashes)
-        self.classes = {}
+        self.classes, self.direct = {}, {}
         for length in self.lengths:
             of = [i for i, c in enumerate(self.words) if c and min(n, c) == length]
+            exact = [i for i in of if self._is_exact(i)]
+            of = sorted({*of} - {*exact})
+            if exact:
+                keys, owner = np.concatenate([self.shingles[i] for i in exact]), np.repeat(exact, [len(self.shingles[i]) for i in exact])
+                order = np.argsort(keys, kind="stable")
+                seen = np.zeros(1 << 16, bool)
+                seen[(keys & tc.U(0xFFFF)).astype(np.int64)] = True
+                self.direct[length] = keys[order], owner[order], seen
             low = [(self.shingles[i] >> tc.U(32)).astype(np.uint32) for i in of]
             by_class = {}
             for i, x in zip(of, low, strict=True):
@@ -78,7 +90,11 @@ class Items:
                 tables[c] = (index[order], np.take_along_axis(values, order, 0), filters)
             self.classes[length] = tables
 
-    def search(self, texts: pa.Array, threshold: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def _is_exact(self, i: int) -> bool:
+        m = len(self.shingles[i])
+        return self.words[i] <= SHORT or self.threshold * m < LEAST_J * (2 * size_class(int(self.words[i])) + (1 - self.threshold) * m)
+
+    def search(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(document, item, shared share) of every leak."""
         w = tc.normal_words(texts)
         hashes = w.hashes()
@@ -89,7 +105,7 @@ class Items:
             runs = tc.runs(hashes, length)
             # Shingles that reach beyond their text don't count.
             alive = np.arange(len(runs)) + length <= np.repeat(w.first[1:], w.counts)[: len(runs)]
-            pairs = self._candidates(runs, alive, w.first, self.classes[length])
+            pairs = np.concatenate([self._looked_up(runs, alive, w.first, length), self._candidates(runs, alive, w.first, self.classes[length])])
             for d in np.unique(pairs[:, 0]):
                 lo, hi = w.first[d], min(w.first[d + 1], len(runs))
                 own = np.unique(runs[lo:hi][alive[lo:hi]])
@@ -97,14 +113,40 @@ class Items:
                     want = self.shingles[i]
                     at = np.searchsorted(own, want)
                     share = float((own[np.minimum(at, len(own) - 1)] == want).mean()) if len(own) else 0.0
-                    if share >= threshold - 1e-12:
+                    if share >= self.threshold - 1e-12:
                         docs.append(d)
                         items.append(i)
                         shares.append(share)
         return np.array(docs, np.int64), np.array(items, np.int64), np.array(shares)
 
+    def _looked_up(self, runs: np.ndarray, alive: np.ndarray, first: np.ndarray, length: int) -> np.ndarray:
+        """Pairs of document and item of which the document has the threshold's share of shingles."""
+        none = np.zeros((0, 2), np.int64)
+        if length not in self.direct:
+            return none
+        keys, owner, seen = self.direct[length]
+        at = np.flatnonzero(seen[(runs & tc.U(0xFFFF)).astype(np.int64)] & alive)
+        # Each shingle of a document once, however often it stands there.
+        doc = np.searchsorted(first, at, "right") - 1
+        values, where = np.unique(runs[at], return_inverse=True)
+        lo, hi = np.searchsorted(keys, values, "left"), np.searchsorted(keys, values, "right")
+        there = hi[where] > lo[where]
+        if not there.any():
+            return none
+        own = np.unique(doc[there] * len(values) + where[there])
+        doc, where = own // len(values), own % len(values)
+        count = (hi - lo)[where]
+        entry = np.repeat(lo[where], count) + np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+        pairs, n = np.unique(np.repeat(doc, count) * len(self.ids) + owner[entry], return_counts=True)
+        doc, item = pairs // len(self.ids), pairs % len(self.ids)
+        size = np.array([len(self.shingles[i]) for i in item])
+        enough = n / size >= self.threshold - 1e-12
+        return np.stack([doc, item], 1)[enough]
+
     def _candidates(self, runs: np.ndarray, alive: np.ndarray, first: np.ndarray, tables: dict) -> np.ndarray:
         """Distinct pairs of document and item with an equal MinHash value in a window."""
+        if not tables:
+            return np.zeros((0, 2), np.int64)
         n = len(runs)
         top = max(tables)
         padded = -(-n // (2 * UNIT)) * 2 * UNIT
@@ -186,9 +228,9 @@ def find_leaks(docs: DataFrame, items: DataFrame, id_col: str = "item_id", text_
 
         def search(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
             ids, texts = sent.value
-            block = Items(ids, texts, n, hashes)
+            block = Items(ids, texts, n, hashes, threshold)
             for batch in tc.slices(batches):
-                doc, item, share = block.search(batch.column("text"), threshold)
+                doc, item, share = block.search(batch.column("text"))
                 old = batch.column("leaks")
                 if not len(doc):
                     yield batch

@@ -147,6 +147,19 @@ def test_leaks_are_brute_force(spark, docs, item_block):
     assert nothing.where(F.size("leaks") > 0).count() == 0
 
 
+def test_items_of_few_shingles_are_never_missed():
+    rng = random.Random(11)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(6))
+    cycle = lambda words, kinds: " ".join((list(word() for _ in range(kinds)) * words)[:words])
+    texts = [" ".join(word() for _ in range(k)) for k in range(1, 10) for _ in range(20)]
+    texts += [cycle(words, kinds) for words, kinds in ((60, 1), (60, 2), (60, 4), (200, 4), (200, 10), (200, 20)) for _ in range(10)]
+    items = decontamination.Items(np.arange(len(texts)), pa.array(texts), 5, 64, 0.8)
+    docs = ["", *(" ".join([*(word() for _ in range(rng.randint(0, 300))), t, *(word() for _ in range(300))]) for t in texts), None]
+    doc, item, share = items.search(pa.array(docs))
+    found = {(d, i): s for d, i, s in zip(doc.tolist(), item.tolist(), share.tolist(), strict=True)}
+    assert all(found.get((i + 1, i)) == 1.0 for i in range(len(texts))) and len(found) == len(doc)
+
+
 def _bits(trees: list[bytes], text: bytes) -> float:
     """Code length by the definition, order 3 down to 0, method C."""
     counts = collections.defaultdict(collections.Counter)
