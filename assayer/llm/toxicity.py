@@ -3,7 +3,8 @@
 A clause (text between marks . ! ? ; : , or line ends) becomes a string of labels: INSULT, THREAT, TARGET, NEGATION, SPEECH, OTHER.
 Five transducers are composed into one that reads it:
 
-  reported speech   after a verb of speech, INSULT and THREAT of the clause become reported ones;
+  reported speech   after a verb of speech, INSULT and THREAT of the clause become reported ones, and so do those of the
+                    clauses after it that only commas or colons part from it;
   negation          up to three words after a negation they become negated ones;
   target            a TARGET up to four words before or after turns an INSULT into a targeted one; a THREAT counts only so;
   insult, threat    put out the event that an INSULT or THREAT amounts to, with its weight.
@@ -49,7 +50,7 @@ EVENTS = ("insult", "targeted", "negated", "reported", "threat")
 #: Weights of the events before any fitting (fixed values).
 PRIOR = {"insult": 2.0, "targeted": 2.6, "negated": 1.0, "reported": 1.2, "threat": 2.4}
 _STEMS = range(4, 9)  # bytes
-_CLAUSE, _WORD = re.compile(r"[.!?;:,\n\r]+"), re.compile(r"\w+")
+_CLAUSE, _WORD = re.compile(r"([.!?;:,\n\r]+)"), re.compile(r"\w+")
 
 
 def grammar_words(texts: pa.Array) -> tc.Words:
@@ -158,11 +159,15 @@ class ToxicityModel:
     def clauses(self, text: str) -> Iterator[tuple[str, list[tuple[str, str]], float]]:
         """Clauses with events: the clause, (word, event) of each, and the weight of the clause."""
         label = self.lexicon.label
-        for clause in _CLAUSE.split(text.lower()):
+        parts, told = _CLAUSE.split(text.lower()), False
+        for clause, mark in zip(parts[::2], [*parts[1::2], ""], strict=True):
             words = _WORD.findall(clause)
             labels = [label(x) for x in words]
+            before, told = told, (told or "SPEECH" in labels) and not mark.strip(",:")
             if "INSULT" in labels or "THREAT" in labels:
-                out, weight = self.grammar.run(labels)
+                # Speech that goes on reads like a verb of speech before the clause.
+                out, weight = self.grammar.run(["SPEECH", *labels] if before else labels)
+                out = out[1:] if before else out
                 if weight:
                     yield clause, [(x, e) for x, e in zip(words, out, strict=True) if e], weight
 

@@ -251,6 +251,13 @@ def test_toxicity_grammar():
     assert model.grammar.run(["TARGET", "INSULT"])[1] == toxicity.PRIOR["targeted"]
 
 
+def test_speech_goes_on_after_commas_and_colons():
+    model = toxicity.ToxicityModel(toxicity.Lexicon({"idiot", "moron"}, set()))
+    events = lambda t: [e for _, out, _ in model.clauses(t) for _, e in out]
+    assert events("he said, you are an idiot") == events("she wrote: you moron") == events("he said, well, \u201cyou idiot\u201d") == ["reported"]
+    assert events("he said. you are an idiot") == events("he said hello; you idiot") == events("well, you idiot") == ["targeted"]
+
+
 def test_toxicity_evidence_is_the_grammar_whatever_marks_touch_a_word():
     model = toxicity.ToxicityModel(toxicity.Lexicon({"idiot", "connard", "ηλιθιος"}, {"vequ"}))
     marks = ["", "\u201c", "\u201d", "\u2019", "\u00a0", "\u2014", "\u2026", "\u00ab", "\u00bf", "\u3000", "\u0301", "\u0130", "é", "_", "."]
