@@ -240,5 +240,5 @@ def find_leaks(docs: DataFrame, items: DataFrame, id_col: str = "item_id", text_
                     found[d] = [*found[d], {"item_id": None if ids[i] is None or ids[i] != ids[i] else int(ids[i]), "share": s}]
                 yield pa.RecordBatch.from_arrays([batch.column("doc"), batch.column("text"), pa.array(found, old.type)], schema=batch.schema)
 
-        rows = rows.mapInArrow(search, schema)
+        rows = rows.mapInArrow(tc.tidy(search), schema)
     return rows.select("doc", F.array_sort("leaks").alias("leaks"))

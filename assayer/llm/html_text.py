@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from . import textcore as tc
 from .samples import _SPAN
 
 # HTML's element names by what they mean here.
@@ -241,4 +242,4 @@ def main_text(pages: DataFrame, weights: Weights, html_col: str = "html") -> Dat
             for at in range(0, batch.num_rows, 256):
                 yield pa.RecordBatch.from_arrays([batch.column("doc").slice(at, 256), pa.array([extract(x, sent.value) for x in raw.slice(at, 256).to_pylist()], pa.string())], ["doc", "text"])
 
-    return rows.mapInArrow(run, T.StructType([rows.schema["doc"], T.StructField("text", T.StringType())]))
+    return rows.mapInArrow(tc.tidy(run), T.StructType([rows.schema["doc"], T.StructField("text", T.StringType())]))

@@ -162,4 +162,4 @@ def identify(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame
                 score[good] = (1 / np.exp2(np.minimum(0, bits.min(1, keepdims=True) - bits)).sum(1))[good]
             yield pa.RecordBatch.from_arrays([batch.column("doc"), pa.array(pred, pa.string()), pa.array(score)], ["doc", "lang_pred", "score"])
 
-    return rows.mapInArrow(run, T.StructType([rows.schema["doc"], T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())]))
+    return rows.mapInArrow(tc.tidy(run), T.StructType([rows.schema["doc"], T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())]))

@@ -157,18 +157,21 @@ def _block(table: pa.Table, n: int, bands: int, rows: int, threshold: float, tol
                 forest.append((i, j))
     has = np.flatnonzero(links)
     pairs = np.array(forest, np.int64).reshape(-1, 2)
-    return pa.table({
+    out = pa.table({
         "u": pa.array(np.concatenate([cls[has], cls[pairs[:, 0]]])),
         "v": pa.concat_arrays([pa.nulls(len(has), pa.int64()), pa.array(cls[pairs[:, 1]])]),
         "n": pa.concat_arrays([pa.array(links[has]), pa.nulls(len(pairs), pa.int64())]),
     })
+    del w, shingles, sigs, values, numbers, pair, ids
+    tc.release()
+    return out
 
 
 def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 5, threshold: float = 0.8, bands: int = 32, rows: int = 4, tolerance: float = 1e-6, block: int = 1024) -> DataFrame:
     """Per row: rid (its id, the smallest long for null), tx (xxhash64 of its text), class_id, n_links (other rows that it links to),
     keep_rid and keep_tx (rid and tx of the row of its class that stays)."""
     texts = docs.select(F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(_NO_ID)).alias("rid"), F.xxhash64(f"`{text_col}`").alias("tx"), F.col(f"`{text_col}`").cast("string").alias("text"))
-    rows_of = written(texts.mapInArrow(lambda it: _profile(it, n, bands, rows), "rid long, tx long, cls long, bands array<long>"))
+    rows_of = written(texts.mapInArrow(tc.tidy(lambda it: _profile(it, n, bands, rows)), "rid long, tx long, cls long, bands array<long>"))
     classes = written(rows_of.where("cls is not null").groupBy("cls").agg(F.count(F.lit(1)).alias("copies"), F.min(F.struct("rid", "tx")).alias("row"), F.min(F.when(F.col("rid") != _NO_ID, F.col("rid"))).alias("first_id"), F.first("bands").alias("bands")))
 
     keys = classes.select("cls", F.explode("bands").alias("key"))

@@ -26,6 +26,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from . import textcore as tc
 from .durable import written
 
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
@@ -49,7 +50,7 @@ def token_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             yield pa.RecordBatch.from_arrays([batch.column("rid"), batch.column("tx"), pa.array([len(encode(x.as_py())) for x in texts], pa.int64())], ["rid", "tx", "n_tokens"])
 
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("rid"), F.xxhash64(f"`{text_col}`").alias("tx"), F.col(f"`{text_col}`").cast("string").alias("text"))
-    return rows.mapInArrow(run, "rid long, tx long, n_tokens long")
+    return rows.mapInArrow(tc.tidy(run), "rid long, tx long, n_tokens long")
 
 
 def histogram(lengths: DataFrame) -> list[tuple[int, int, int]]:

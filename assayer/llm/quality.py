@@ -161,4 +161,4 @@ def score(docs: DataFrame, model, text_col: str = "text") -> DataFrame:
         for batch in tc.slices(b.append_column("text", b.column("doc").field(text_col).cast(pa.string())) for b in batches):
             yield pa.RecordBatch.from_arrays([batch.column("doc"), pa.array(sent.value.scores(batch.column("text")))], ["doc", "score"])
 
-    return rows.mapInArrow(run, T.StructType([rows.schema["doc"], T.StructField("score", T.DoubleType())]))
+    return rows.mapInArrow(tc.tidy(run), T.StructType([rows.schema["doc"], T.StructField("score", T.DoubleType())]))

@@ -271,12 +271,12 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     def ranges(packs: DataFrame, all_known: bool, before: int, after: int) -> DataFrame:
         """Ranges of each text around the settled places; one row for each text."""
-        places = packs.repartitionById(parts, "part").mapInArrow(lambda it: _settle(it, all_known, parts), _PLACES)
-        return places.repartitionById(parts, "part").mapInArrow(lambda it: _merge(it, before, after), _RANGES).hint("shuffle_hash")
+        places = packs.repartitionById(parts, "part").mapInArrow(tc.tidy(lambda it: _settle(it, all_known, parts)), _PLACES)
+        return places.repartitionById(parts, "part").mapInArrow(tc.tidy(lambda it: _merge(it, before, after)), _RANGES).hint("shuffle_hash")
 
-    anchors = rows.select("rid", "tie", text.alias("text")).mapInArrow(lambda it: _anchors(it, window, parts), _PACK)
+    anchors = rows.select("rid", "tie", text.alias("text")).mapInArrow(tc.tidy(lambda it: _anchors(it, window, parts)), _PACK)
     near = rows.join(ranges(anchors, True, period - 1, 0), ["rid", "tie"]).select("doc", "rid", "tie", "at")
-    windows = near.mapInArrow(lambda it: _candidates(it, window, parts, text_col), _PACK)
+    windows = near.mapInArrow(tc.tidy(lambda it: _candidates(it, window, parts, text_col)), _PACK)
     last = rows.join(ranges(windows, False, 0, window - 1), ["rid", "tie"], "left").select("doc", "at")
     schema = T.StructType([rows.schema["doc"], *T._parse_datatype_string("n_words long, n_removed long, spans array<struct<first:long,last:long>>, kept string").fields])
-    return last.mapInArrow(lambda it: _cut(it, text_col), schema)
+    return last.mapInArrow(tc.tidy(lambda it: _cut(it, text_col)), schema)
