@@ -12,10 +12,11 @@ words also start earlier: in a text with a smaller id, or earlier in the same te
 
 A value that occurs many times in one map task leaves that task once (its other occurrences are settled
 there), so a value has at most as many rows in a shuffle as there are map tasks: no hot key meets in one task.
-Occurrences are sent packed, about 11 bytes each, to spark.sql.shuffle.partitions ranges of hashes; a task holds one range.
+Occurrences are sent packed, about 11 bytes each, to spark.sql.shuffle.partitions ranges of hashes; a task holds one range as
+it came and works on STEP occurrences of it at once.
 The texts are shuffled once by id; both later passes read that exchange.
 
-Defined results: a null id sorts before all others; rows that share an id are ordered by a hash of the text,
+Defined results: a null id sorts before all others; rows that share an id are ordered by a 64-bit hash of the text,
 and rows that share id and text count as one text and get one result each; a null or empty text, or one with
 fewer words than a window, loses nothing; all input columns come back in the struct `doc`, so no name can clash.
 """
@@ -34,14 +35,14 @@ from . import textcore as tc
 
 #: Perfect difference sets by period (fixed values).
 COVERS = {1: (0,), 3: (0, 1), 7: (0, 1, 3), 13: (0, 1, 3, 9), 21: (0, 1, 4, 14, 16), 31: (0, 1, 3, 8, 12, 18), 57: (0, 1, 3, 13, 32, 36, 43, 52)}
-#: Occurrences that a map task settles and packs at once.
-FLUSH = 2_000_000
+#: Occurrences that a map task settles and packs at once, and that a task of keys or texts works on at once.
+FLUSH, STEP = 500_000, 400_000
 #: What a map task sends to one partition of keys: the sorted keys as steps, and for each its text (a number in rid and tie) and place;
 #: then the text and place of occurrences that are settled already.  Numbers are stored by byte planes, which compress well.
 _PACK = "part int, keys binary, who binary, place binary, known_who binary, known_place binary, rid binary, tie binary"
 #: What a task of keys sends to one partition of texts: texts, how many places each has, and the places.
 _PLACES = "part int, rid binary, tie binary, n binary, place binary"
-_RANGES = "rid long, tie int, at array<int>"
+_RANGES = "rid long, tie long, at array<int>"
 
 
 def cover_for(window: int) -> tuple[int, tuple[int, ...]]:
@@ -116,65 +117,99 @@ class _Packer:
             if len(k) or len(y):
                 used, number = np.unique(np.concatenate([x, y]) >> 32, return_inverse=True)
                 number = number.astype(np.uint32)
-                rows.append((p, _planes(np.diff(k, prepend=tc.U(0))), _planes(number[: len(x)]), _planes((x & 0xFFFFFFFF).astype(np.uint32)), _planes(number[len(x) :]), _planes((y & 0xFFFFFFFF).astype(np.uint32)), rid[used].tobytes(), _planes(tie[used].astype(np.int32))))
-        for at in range(0, len(rows), 64):
-            columns = list(zip(*rows[at : at + 64], strict=True))
-            yield pa.RecordBatch.from_arrays([pa.array(columns[0], pa.int32()), *(pa.array(c, pa.binary()) for c in columns[1:])], names=["part", "keys", "who", "place", "known_who", "known_place", "rid", "tie"])
+                rows.append((p, _planes(np.diff(k, prepend=tc.U(0))), _planes(number[: len(x)]), _planes((x & 0xFFFFFFFF).astype(np.uint32)), _planes(number[len(x) :]), _planes((y & 0xFFFFFFFF).astype(np.uint32)), rid[used].tobytes(), tie[used].tobytes()))
+        yield from _rows_of(rows, ["part", "keys", "who", "place", "known_who", "known_place", "rid", "tie"])
 
 
-def _settle(batches: Iterator[pa.RecordBatch], all_known: bool, parts: int) -> Iterator[pa.RecordBatch]:
-    """Places by text, of one partition of keys: the settled ones, and those whose key occurs again (all_known: all of them; else all but the first)."""
-    packs = [row for batch in batches for row in batch.to_pylist()]
-    if not packs:
-        return
-    key = np.concatenate([np.cumsum(_numbers(r["keys"], np.uint64), dtype=tc.U) for r in packs])
-    rid = [np.frombuffer(r["rid"], np.int64) for r in packs]
-    tie = [_numbers(r["tie"], np.int32).astype(np.int64) for r in packs]
-    who = [_numbers(r["who"], np.uint32) for r in packs]
-    place = np.concatenate([_numbers(r["place"], np.uint32) for r in packs]).astype(np.int64)
-    own_rid, own_tie = (np.concatenate([x[w] for x, w in zip(of, who, strict=True)]) for of in (rid, tie))
-    order = np.lexsort((place, own_tie, own_rid, key))
-    twin = np.concatenate([[False], key[order][1:] == key[order][:-1]])
-    same_spot = twin.copy()
-    for x in (own_rid, own_tie, place):
-        same_spot[1:] &= x[order][1:] == x[order][:-1]
-    # A run of one key: its first spot, and every row that isn't at that spot.
-    start = np.flatnonzero(~twin)
-    run = np.cumsum(~twin) - 1
-    later = np.zeros(len(order), bool)
-    if len(order):
-        moved = np.cumsum(~same_spot)
-        later = moved > moved[start][run]
-    hit = np.bitwise_or.reduceat(later, start)[run] if all_known and len(order) else later
-    hit = order[hit]
-    known_who = [_numbers(r["known_who"], np.uint32) for r in packs]
-    rid = np.concatenate([own_rid[hit], *(x[w] for x, w in zip(rid, known_who, strict=True))])
-    tie = np.concatenate([own_tie[hit], *(x[w] for x, w in zip(tie, known_who, strict=True))])
-    place = np.concatenate([place[hit], *(_numbers(r["known_place"], np.uint32).astype(np.int64) for r in packs)])
+def _rows_of(columns: list[list], names: list[str]) -> Iterator[pa.RecordBatch]:
+    for at in range(0, len(columns), 64):
+        part, *rest = zip(*columns[at : at + 64], strict=True)
+        yield pa.RecordBatch.from_arrays([pa.array(part, pa.int32()), *(pa.array(c, pa.binary()) for c in rest)], names=names)
+
+
+def _places(rid: np.ndarray, tie: np.ndarray, place: np.ndarray, parts: int) -> Iterator[pa.RecordBatch]:
+    """Places by text, packed by partition of texts."""
     to = _part_of(rid, parts)
     order = np.lexsort((place, tie, rid, to))
     rid, tie, place, to = rid[order], tie[order], place[order], to[order]
     fresh = np.concatenate([[True], (rid[1:] != rid[:-1]) | (tie[1:] != tie[:-1])])[: len(rid)]
     cuts, rows = np.searchsorted(to, np.arange(parts + 1)), []
-    for p in range(parts):
+    for p in np.flatnonzero(np.diff(cuts)):
         lo, hi = cuts[p], cuts[p + 1]
-        if hi > lo:
-            first = np.flatnonzero(fresh[lo:hi]) + lo
-            rows.append((p, rid[first].tobytes(), _planes(tie[first].astype(np.int32)), _planes(np.diff(np.append(first, hi)).astype(np.uint32)), _planes(place[lo:hi].astype(np.uint32))))
-    for at in range(0, len(rows), 64):
-        columns = list(zip(*rows[at : at + 64], strict=True))
-        yield pa.RecordBatch.from_arrays([pa.array(columns[0], pa.int32()), *(pa.array(c, pa.binary()) for c in columns[1:])], names=["part", "rid", "tie", "n", "place"])
+        first = np.flatnonzero(fresh[lo:hi]) + lo
+        rows.append((int(p), rid[first].tobytes(), tie[first].tobytes(), _planes(np.diff(np.append(first, hi)).astype(np.uint32)), _planes(place[lo:hi].astype(np.uint32))))
+    yield from _rows_of(rows, ["part", "rid", "tie", "n", "place"])
+
+
+def _later(key: np.ndarray, rid: np.ndarray, tie: np.ndarray, place: np.ndarray, all_known: bool) -> np.ndarray:
+    """Which occurrences aren't the first one of their key (all_known: those whose key has several)."""
+    order = np.lexsort((place, tie, rid, key))
+    twin = np.concatenate([[False], key[order][1:] == key[order][:-1]])
+    same_spot = twin.copy()
+    for x in (rid, tie, place):
+        same_spot[1:] &= x[order][1:] == x[order][:-1]
+    # A run of one key: its first spot, and every row that isn't at that spot.
+    start = np.flatnonzero(~twin)
+    run = np.cumsum(~twin) - 1
+    moved = np.cumsum(~same_spot)
+    later = moved > moved[start][run]
+    return order[np.bitwise_or.reduceat(later, start)[run] if all_known else later]
+
+
+def _settle(batches: Iterator[pa.RecordBatch], all_known: bool, parts: int) -> Iterator[pa.RecordBatch]:
+    """Places by text, of one partition of keys: the settled ones, and those whose key occurs again (all_known: all of them; else all but the first).
+
+    The packs are held as they came, 16 bytes for each occurrence; they are settled by ranges of keys of about STEP occurrences."""
+    held = []
+    for batch in batches:
+        for r in batch.to_pylist():
+            rid, tie = np.frombuffer(r["rid"], np.int64), np.frombuffer(r["tie"], np.int64)
+            held.append((np.cumsum(_numbers(r["keys"], np.uint64), dtype=tc.U), _numbers(r["who"], np.uint32), _numbers(r["place"], np.uint32), rid, tie))
+            known, spot = _numbers(r["known_who"], np.uint32), _numbers(r["known_place"], np.uint32).astype(np.int64)
+            for at in range(0, len(known), STEP):
+                yield from _places(rid[known[at : at + STEP]], tie[known[at : at + STEP]], spot[at : at + STEP], parts)
+    held = [x for x in held if len(x[0])]
+    if not held:
+        return
+    least, most = min(int(x[0][0]) for x in held), max(int(x[0][-1]) for x in held)
+    steps = -(-sum(len(x[0]) for x in held) // STEP)
+    # Keys are hashes, so ranges of equal width hold about as many.
+    bounds = [np.searchsorted(x[0], np.array([least + (most - least) * k // steps for k in range(1, steps)], tc.U)) for x in held]
+    for k in range(steps):
+        cut = [slice(b[k - 1] if k else 0, b[k] if k < steps - 1 else len(x[0])) for x, b in zip(held, bounds, strict=True)]
+        key = np.concatenate([x[0][c] for x, c in zip(held, cut, strict=True)])
+        if len(key):
+            rid, tie = (np.concatenate([x[i][x[1][c]] for x, c in zip(held, cut, strict=True)]) for i in (3, 4))
+            place = np.concatenate([x[2][c] for x, c in zip(held, cut, strict=True)]).astype(np.int64)
+            hit = _later(key, rid, tie, place, all_known)
+            yield from _places(rid[hit], tie[hit], place[hit], parts)
 
 
 def _merge(batches: Iterator[pa.RecordBatch], before: int, after: int) -> Iterator[pa.RecordBatch]:
-    """Per text of one partition, the ranges that place - before to place + after make up: first, end, first, end ..."""
-    packs = [row for batch in batches for row in batch.to_pylist()]
-    if not packs:
+    """Per text of one partition, the ranges that place - before to place + after make up: first, end, first, end ...
+
+    Places are held as they came, 4 bytes each, and merged for about STEP places at once: texts by a hash of their ids."""
+    held, total = [], 0
+    for batch in batches:
+        for r in batch.to_pylist():
+            n = _numbers(r["n"], np.uint32).astype(np.int64)
+            held.append((np.frombuffer(r["rid"], np.int64), np.frombuffer(r["tie"], np.int64), n, _numbers(r["place"], np.uint32)))
+            total += len(held[-1][3])
+    steps = max(1, -(-total // STEP))
+    for k in range(steps):
+        rid, tie, place = [], [], []
+        for r, t, n, p in held:
+            own = (tc.mix(r.view(tc.U)) % tc.U(steps)).astype(np.int64) == k if steps > 1 else np.ones(len(r), bool)
+            rid.append(np.repeat(r[own], n[own]))
+            tie.append(np.repeat(t[own], n[own]))
+            place.append(p[np.repeat(own, n)])
+        if rid:
+            yield from _ranges(np.concatenate(rid), np.concatenate(tie), np.concatenate(place).astype(np.int64), before, after)
+
+
+def _ranges(rid: np.ndarray, tie: np.ndarray, place: np.ndarray, before: int, after: int) -> Iterator[pa.RecordBatch]:
+    if not len(rid):
         return
-    n = [_numbers(r["n"], np.uint32) for r in packs]
-    rid = np.concatenate([np.repeat(np.frombuffer(r["rid"], np.int64), k) for r, k in zip(packs, n, strict=True)])
-    tie = np.concatenate([np.repeat(_numbers(r["tie"], np.int32), k) for r, k in zip(packs, n, strict=True)])
-    place = np.concatenate([_numbers(r["place"], np.uint32).astype(np.int64) for r in packs])
     order = np.lexsort((place, tie, rid))
     rid, tie, place = rid[order], tie[order], place[order]
     first, end = np.maximum(place - before, 0), place + after + 1
@@ -264,7 +299,7 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """Per row: doc (its columns), n_words, n_removed, spans (removed words as [first, last)), kept (the other words, joined by one blank)."""
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"))
     text = F.col("doc").getField(text_col).cast("string")
-    rows = rows.select("doc", F.coalesce(F.col("doc").getField(id_col).cast("long"), F.lit(-(1 << 63))).alias("rid"), F.hash(text).alias("tie"))
+    rows = rows.select("doc", F.coalesce(F.col("doc").getField(id_col).cast("long"), F.lit(-(1 << 63))).alias("rid"), F.xxhash64(text).alias("tie"))
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
     period, _ = cover_for(window)
@@ -272,7 +307,7 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     def ranges(packs: DataFrame, all_known: bool, before: int, after: int) -> DataFrame:
         """Ranges of each text around the settled places; one row for each text."""
         places = packs.repartitionById(parts, "part").mapInArrow(tc.tidy(lambda it: _settle(it, all_known, parts)), _PLACES)
-        return places.repartitionById(parts, "part").mapInArrow(tc.tidy(lambda it: _merge(it, before, after)), _RANGES).hint("shuffle_hash")
+        return places.repartitionById(parts, "part").mapInArrow(tc.tidy(lambda it: _merge(it, before, after)), _RANGES)
 
     anchors = rows.select("rid", "tie", text.alias("text")).mapInArrow(tc.tidy(lambda it: _anchors(it, window, parts)), _PACK)
     near = rows.join(ranges(anchors, True, period - 1, 0), ["rid", "tie"]).select("doc", "rid", "tie", "at")
