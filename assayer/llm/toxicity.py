@@ -1,20 +1,23 @@
 """Toxicity by a weighted finite-state pattern grammar.
 
-A clause (text between marks . ! ? ; : , or line ends) becomes a string of labels: INSULT, THREAT, TARGET, NEGATION, SPEECH, OTHER.
-Five transducers are composed into one that reads it:
+A clause (text between marks . ! ? ; : , or line ends) becomes a string of labels: INSULT, THREAT, TARGET, NEGATION, SPEECH, OTHER
+and an END.  Five transducers are composed into one that reads it:
 
   reported speech   after a verb of speech, INSULT and THREAT of the clause become reported ones, and so do those of the
                     clauses after it that only commas or colons part from it;
-  negation          up to three words after a negation they become negated ones;
-  target            a TARGET up to four words before or after turns an INSULT into a targeted one; a THREAT counts only so;
-  insult, threat    put out the event that an INSULT or THREAT amounts to, with its weight.
+  negation          up to three words after a negation they become negated ones (unless they are reported);
+  target            a TARGET up to four words before or after gives an INSULT or THREAT, whatever became of it, an aim.  Without
+                    one before it, it is held back until a TARGET, another such word, the fifth word or the END tells, so each
+                    comes out once, whatever the order; of several in a row, a TARGET after them is the aim of the last;
+  insult, threat    put out the event that an INSULT or THREAT amounts to, with its weight.  A THREAT without an aim is none.
 
-So clauses are scored by what they say, not words by themselves.  A text's evidence is, for each kind of event, the logarithm
-of 1 + the weights of its clauses; a logistic layer turns it into a score.
+So clauses are scored by what they say, not words by themselves.  A text's evidence is the sum of the weights of its events;
+its logarithm goes through a logistic layer.  A negated or reported event never weighs more than the plain one, in the
+grammar and after fitting, so neither negation nor report can raise a score.
 
 The grammar's words and word stems come from labelled texts: those whose share among toxic texts exceeds that among the
 others by far, near-copies counted once; to them come a few fixed words.  The layer is fitted to the same sample,
-with weights that start from the grammar's own and can't become negative.
+with weights that start from the grammar's own and stay positive.
 
 Defined results: a null or empty text is scored like one without any match; without labelled rows the fixed words and weights
 hold.  Extra columns come back in `doc`.
@@ -45,7 +48,8 @@ TARGETS = "you your yours he she they them his her their du dich dir dein ihr eu
 NEGATIONS = "not no never neither nor isn aren wasn don doesn nicht kein keine nie non ne pas jamais aucun nunca ningún sin".split()
 SPEECH = "said says called calls wrote claimed reported quoted sagte nannte schrieb behauptete dit appelé écrit affirmé dijo llamó escribió afirmó".split()
 
-LABELS = ("INSULT", "THREAT", "TARGET", "NEGATION", "SPEECH", "OTHER")
+LABELS = ("INSULT", "THREAT", "TARGET", "NEGATION", "SPEECH", "OTHER", "END")
+HITS = ("INSULT", "THREAT")
 EVENTS = ("insult", "targeted", "negated", "reported", "threat")
 #: Weights of the events before any fitting (fixed values).
 PRIOR = {"insult": 2.0, "targeted": 2.6, "negated": 1.0, "reported": 1.2, "threat": 2.4}
@@ -66,40 +70,49 @@ def grammar_words(texts: pa.Array) -> tc.Words:
 
 
 def grammar() -> Transducer:
-    """The composed transducer; each label in, one event or "" out, with the event's weight."""
-    hits = ("INSULT", "THREAT")
+    """The composed transducer; each label in, one event or "" out, with the event's weight.  A string ends with END."""
 
     def speech(told: bool, label: str):
-        if told and label in hits:
+        if told and label in HITS:
             return f"{label}/reported", 0.0, True
-        return label, 0.0, told or label == "SPEECH"
+        return label, 0.0, label == "SPEECH" or told and label != "END"
 
     def negation(left: int, label: str):
-        if left and label in hits:
+        if left and label in HITS:
             return f"{label}/negated", 0.0, left - 1
-        return label, 0.0, 3 if label == "NEGATION" else max(0, left - 1)
-
-    def target(state: tuple[int, int, str], label: str):
-        """state: words for which a target before still counts, a hit before still waits for one, and what the hit is."""
-        near, waits, hit = state
+        return label, 0.0, 3 if label == "NEGATION" else 0 if label == "END" else max(0, left - 1)
+
+    def target(state: tuple[int, str, int], label: str):
+        """state: words for which a target before still counts, the hit that is held back, and words for which it still waits.
+        What comes out is a hit that is decided, with +target if it has an aim, else a label without weight."""
+        near, held, waits = state
+        if label.partition("/")[0] in HITS:
+            if near:  # nothing is held while a target is near
+                return f"{label}+target", 0.0, (near - 1, "", 0)
+            return held or "OTHER", 0.0, (0, label, 4)
         if label == "TARGET":
-            return (f"{hit}+target" if waits else "OTHER"), 0.0, (4, 0, "")
-        near, waits = max(0, near - 1), max(0, waits - 1)
-        if label in hits:
-            if near or state[0]:
-                return f"{label}+target", 0.0, (near, 0, "")
-            return (label if label == "INSULT" else "OTHER"), 0.0, (0, 4, label)
-        return label, 0.0, (near, waits, hit if waits else "")
+            return f"{held}+target" if held else "OTHER", 0.0, (4, "", 0)
+        if label == "END":
+            return held or "OTHER", 0.0, (0, "", 0)
+        if held and waits == 1:
+            return held, 0.0, (0, "", 0)
+        return "OTHER", 0.0, (max(0, near - 1), held, waits - 1 if held else 0)
 
     def events(_: int, label: str):
-        kind, _, how = label.partition("/")
-        name = {"reported": "reported", "negated": "negated"}.get(how) if how else {"INSULT": "insult", "INSULT+target": "targeted", "THREAT+target": "threat"}.get(kind, "")
-        return name or "", PRIOR.get(name or "", 0.0), 0
-
-    told = [*LABELS, *(f"{h}/reported" for h in hits)]
-    denied = [*told, *(f"{h}/negated" for h in hits)]
-    aimed = [*denied, "INSULT+target", "THREAT+target"]
-    return build(LABELS, False, speech) @ build(told, 0, negation) @ build(denied, (0, 0, ""), target) @ build(aimed, 0, events)
+        hit, _, aim = label.partition("+")
+        kind, _, how = hit.partition("/")
+        name = ""
+        if kind == "INSULT":
+            name = how or ("targeted" if aim else "insult")
+        elif kind == "THREAT" and aim:
+            name = how or "threat"
+        return name, PRIOR.get(name, 0.0), 0
+
+    plain = [x for x in LABELS if x not in HITS]
+    told = [*HITS, *(f"{h}/reported" for h in HITS)]
+    denied = [*told, *(f"{h}/negated" for h in HITS)]
+    decided = [*denied, *(f"{h}+target" for h in denied), "OTHER"]
+    return build(LABELS, False, speech) @ build([*told, *plain], 0, negation) @ build([*denied, *plain], (0, "", 0), target) @ build(decided, 0, events)
 
 
 class Lexicon:
@@ -153,11 +166,11 @@ class Lexicon:
 class ToxicityModel:
     def __init__(self, lexicon: Lexicon):
         self.lexicon, self.grammar = lexicon, grammar()
-        self.weights, self.offset = np.array([PRIOR[e] for e in EVENTS]), -3.0
+        self.weights, self.slope, self.offset = np.array([PRIOR[e] for e in EVENTS]), 2.0, -3.0
         self._labels: dict[str, str] = {}
 
-    def clauses(self, text: str) -> Iterator[tuple[str, list[tuple[str, str]], float]]:
-        """Clauses with events: the clause, (word, event) of each, and the weight of the clause."""
+    def clauses(self, text: str) -> Iterator[tuple[str, list[tuple[str, str]], list[str], float]]:
+        """Clauses with events: the clause, (word, label) of its insults and threats, the events in order, and the clause's weight."""
         label = self.lexicon.label
         parts, told = _CLAUSE.split(text.lower()), False
         for clause, mark in zip(parts[::2], [*parts[1::2], ""], strict=True):
@@ -166,30 +179,40 @@ class ToxicityModel:
             before, told = told, (told or "SPEECH" in labels) and not mark.strip(",:")
             if "INSULT" in labels or "THREAT" in labels:
                 # Speech that goes on reads like a verb of speech before the clause.
-                out, weight = self.grammar.run(["SPEECH", *labels] if before else labels)
-                out = out[1:] if before else out
+                out, weight = self.grammar.run([*(["SPEECH"] if before else []), *labels, "END"])
+                # An event comes out where it is decided: at its word, or at a later one.
+                events = [e for e in out if e]
                 if weight:
-                    yield clause, [(x, e) for x, e in zip(words, out, strict=True) if e], weight
+                    yield clause, [(x, y) for x, y in zip(words, labels, strict=True) if y in HITS], events, weight
 
     def evidence(self, texts: pa.Array) -> np.ndarray:
+        """How often each event occurs in the clauses of each text."""
         out = np.zeros((len(texts), len(EVENTS)))
         for i in np.flatnonzero(self.lexicon.matched(grammar_words(texts))):
-            for _, events, weight in self.clauses(texts[int(i)].as_py()):
-                # The clause's weight goes to its events in proportion to theirs.
-                total = sum(PRIOR[e] for _, e in events)
-                for _, e in events:
-                    out[i, EVENTS.index(e)] += weight * PRIOR[e] / total
-        return np.log1p(out)
+            for _, _, events, _ in self.clauses(texts[int(i)].as_py()):
+                for e in events:
+                    out[i, EVENTS.index(e)] += 1
+        return out
+
+    def of_evidence(self, counts: np.ndarray) -> np.ndarray:
+        return 1 / (1 + np.exp(-np.clip(self.slope * np.log1p(counts @ self.weights) + self.offset, -30, 30)))
 
     def scores(self, texts: pa.Array) -> np.ndarray:
-        return 1 / (1 + np.exp(-np.clip(self.evidence(texts) @ self.weights + self.offset, -30, 30)))
+        return self.of_evidence(self.evidence(texts))
 
-    def fit(self, texts: pa.Array, labels: np.ndarray, steps: int = 400, rate: float = 0.5, pull: float = 0.002) -> None:
+    def fit(self, texts: pa.Array, labels: np.ndarray, steps: int = 400, rate: float = 0.3, pull: float = 0.01) -> None:
         x, prior = np.concatenate([self.evidence(t) for t in tc.pieces(texts)]), self.weights.copy()
         share = np.where(labels == 1, 0.5 / max(1, (labels == 1).sum()), 0.5 / max(1, (labels == 0).sum()))
+        plain = [EVENTS.index(e) for e in ("insult", "targeted", "threat")]
+        softened = [EVENTS.index(e) for e in ("negated", "reported")]
         for _ in range(steps):
-            err = (1 / (1 + np.exp(-np.clip(x @ self.weights + self.offset, -30, 30))) - labels) * share
-            self.weights = np.maximum(0.2, self.weights - rate * (x.T @ err + pull * (self.weights - prior)))
+            total = x @ self.weights
+            err = (self.of_evidence(x) - labels) * share
+            step = x.T @ (err * self.slope / (1 + total)) + pull * (self.weights - prior)
+            slope = (err * np.log1p(total)).sum() + pull * (self.slope - 2.0)
+            self.weights = np.maximum(0.2, self.weights - rate * step)
+            self.weights[softened] = np.minimum(self.weights[softened], self.weights[plain].min())
+            self.slope = max(0.5, self.slope - rate * slope)
             self.offset = min(-1.5, self.offset - rate * err.sum())
 
 
