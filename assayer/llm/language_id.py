@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import textcore as tc
-from .samples import _SPAN
+from .samples import _SPAN, chance
 
 ORDER = 3
 _START = 0x0A  # stands before every text, ORDER times
@@ -124,24 +124,28 @@ def has_letter(texts: pa.Array, data: np.ndarray, off: np.ndarray) -> np.ndarray
     return out
 
 
-def train(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", id_col: str = "doc_id", texts_per_lang: int = 400, max_chars: int = 100_000, broadcast_langs: int = 10_000) -> Model:
-    """Trees of all languages, from about texts_per_lang rows of each, chosen by a hash of the id; texts above max_chars aren't sampled.
+def train(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", id_col: str = "doc_id", texts_per_lang: int = 400, broadcast_langs: int = 10_000) -> Model:
+    """Trees of all languages, from at most texts_per_lang texts of each, chosen by a hash of id and text; texts of any length are taken, copies
+    of a row once.
 
     Thresholds of up to broadcast_langs languages are broadcast, more are joined ordinarily."""
-    rows = docs.select(F.col(f"`{lang_col}`").cast("string").alias("lang"), F.col(f"`{text_col}`").cast("string").alias("text"), F.pmod(F.xxhash64(F.col(f"`{id_col}`"), F.lit("lang")), F.lit(_SPAN)).alias("chance")).where("lang is not null and text is not null")
-    counts = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+    rows = docs.select(F.col(f"`{lang_col}`").cast("string").alias("lang"), F.col(f"`{text_col}`").cast("string").alias("text"), chance(F.col(f"`{id_col}`"), F.col(f"`{text_col}`").cast("string")).alias("chance")).where("lang is not null and text is not null")
+    # Different rows count, so copies don't crowd out a language's other texts; a fifth more than wanted are drawn, as the count is approximate.
+    counts = rows.groupBy("lang").agg(F.greatest(F.approx_count_distinct("chance"), F.lit(1)).alias("n"))
     # A part of the counts tells whether all are few; texts aren't shuffled to meet few.
     few = counts.limit(broadcast_langs + 1).collect()
     if len(few) <= broadcast_langs:
         counts = F.broadcast(docs.sparkSession.createDataFrame([(r["lang"], r["n"]) for r in few], "lang string, n long"))
-    least = F.least(F.lit(_SPAN), F.floor(F.lit(texts_per_lang * _SPAN) / F.col("n")))
-    sample = rows.join(counts, "lang").where(F.col("chance") < least).where(F.char_length("text") <= max_chars).orderBy("lang", "chance", "text").select("lang", "text").toArrow()
+    least = F.least(F.lit(_SPAN), F.floor(F.lit(texts_per_lang * _SPAN // 5 * 6) / F.col("n")))
+    # Copies are combined before the shuffle.
+    picked = rows.join(counts, "lang").where(F.col("chance") < least).groupBy("lang", "chance").agg(F.first("text").alias("text"))
+    sample = picked.orderBy("lang", "chance").select("lang", "text").toArrow()
     texts = sample.column("text").combine_chunks() if sample.num_rows else pa.array([], pa.string())
     # Rows of a language follow each other.
     spans: dict[str, list[int]] = {}
     for i, x in enumerate(sample.column("lang").to_pylist()):
         spans.setdefault(x, [i, i])[1] = i + 1
-    return Model({x: texts.slice(i, j - i) for x, (i, j) in spans.items()})
+    return Model({x: texts.slice(i, min(j - i, texts_per_lang)) for x, (i, j) in spans.items()})
 
 
 def identify(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:

@@ -2,10 +2,9 @@
 
 1. Every text's tokens are counted with a public byte-level BPE vocabulary (a file whose path is a parameter; it is read on the
    driver and broadcast, as its size doesn't depend on the data).
-2. A global histogram of lengths (exact up to 1,024 tokens, then 64 cells an octave, so at most a few thousand cells
-   whatever the data) gathers counts, sums and greatest lengths.
-3. Dynamic programming over its cells chooses the `buckets` boundaries that minimise the padding of all texts to the
-   greatest length of their bucket.
+2. A global histogram counts the texts of every length.
+3. Dynamic programming over its lengths chooses the `buckets` boundaries that minimise the padding of all texts to the
+   greatest length of their bucket, in time linear in the lengths for each bucket.
 4. Inside a bucket, texts are numbered without gaps and cut into batches of budget // boundary texts, so each but a bucket's
    last batch is full.  Numbers come from ranks inside shards of about `shard` texts plus the shards' running totals: no
    bucket is sorted in one task, however many texts it holds.
@@ -19,8 +18,8 @@ from __future__ import annotations
 
 import base64
 from collections.abc import Iterator
+from itertools import accumulate
 
-import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
@@ -29,13 +28,11 @@ from pyspark.sql import functions as F
 from . import textcore as tc
 from .durable import written
 
-VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 #: How the vocabulary's texts were split before merging (fixed value).
 SPLIT = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}++| ?\p{N}++| ?[^\s\p{L}\p{N}]++|\s++$|\s+(?!\S)|\s"
-EXACT, OCTAVE = 1024, 64
 
 
-def token_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", vocabulary: str = VOCABULARY) -> DataFrame:
+def token_counts(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """rid (the id), tx (xxhash64 of the text) and n_tokens of every row."""
     with open(vocabulary, "rb") as f:
         sent = docs.sparkSession.sparkContext.broadcast(f.read())
@@ -53,47 +50,61 @@ def token_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return rows.mapInArrow(tc.tidy(run), "rid long, tx long, n_tokens long")
 
 
-def histogram(lengths: DataFrame) -> list[tuple[int, int, int]]:
-    """(greatest length, count, sum of lengths) of the non-empty cells, by length."""
-    n = F.col("n_tokens")
-    cell = F.when(n <= EXACT, n).otherwise(EXACT + F.ceil(F.log2(n / EXACT) * OCTAVE))
-    rows = lengths.groupBy(cell.cast("int").alias("cell")).agg(F.max(n).alias("top"), F.count(F.lit(1)).alias("n"), F.sum(n).alias("total")).orderBy("cell").collect()
-    return [(r["top"], r["n"], r["total"]) for r in rows]
+def histogram(lengths: DataFrame) -> list[tuple[int, int]]:
+    """(length, number of texts) of all lengths, in order.  As many entries as there are different lengths: n of them need texts of n * n / 2 tokens in all."""
+    rows = lengths.groupBy("n_tokens").agg(F.count(F.lit(1)).alias("n")).orderBy("n_tokens").collect()
+    return [(r["n_tokens"], r["n"]) for r in rows]
 
 
-def boundaries(cells: list[tuple[int, int, int]], buckets: int) -> list[int]:
-    """The greatest lengths of at most `buckets` buckets of neighbouring cells that minimise the total padding."""
+def boundaries(cells: list[tuple[int, int]], buckets: int) -> list[int]:
+    """The greatest lengths of at most `buckets` buckets of neighbouring lengths that minimise the total padding, exactly.
+
+    With the first i lengths packed best, the rest up to length j cost best[i] + tokens[i] - top[j] * count[i], but for a part that
+    i doesn't change: a line in top[j].  Slopes fall with i and the tops rise with j, so the lower envelope of the lines gives
+    the best i for all j in one sweep, and a bucket more costs one sweep."""
     if not cells:
         return []
-    top = np.array([c[0] for c in cells], float)
-    count = np.concatenate([[0], np.cumsum([c[1] for c in cells])]).astype(float)
-    total = np.concatenate([[0], np.cumsum([c[2] for c in cells])]).astype(float)
     n = len(cells)
-    best, back = np.full(n + 1, np.inf), []
-    best[0] = 0
+    count, tokens = [0, *accumulate(c for _, c in cells)], [0, *accumulate(x * c for x, c in cells)]
+    best: list[int | None] = [0] + [None] * n
+    back = []
     for _ in range(min(buckets, n)):
-        new, cut = np.full(n + 1, np.inf), np.zeros(n + 1, int)
+        new: list[int | None] = [None] * (n + 1)
+        cut, lines, first = [0] * (n + 1), [], 0
         for j in range(1, n + 1):
-            costs = best[:j] + top[j - 1] * (count[j] - count[:j]) - (total[j] - total[:j])
-            cut[j] = int(np.argmin(costs))
-            new[j] = costs[cut[j]]
+            if best[j - 1] is not None:
+                line = (-count[j - 1], best[j - 1] + tokens[j - 1], j - 1)
+                while len(lines) - first >= 2 and _hidden(lines[-2], lines[-1], line):
+                    lines.pop()
+                lines.append(line)
+            top = cells[j - 1][0]
+            while len(lines) - first >= 2 and lines[first + 1][0] * top + lines[first + 1][1] < lines[first][0] * top + lines[first][1]:
+                first += 1
+            if len(lines) > first:
+                slope, base, cut[j] = lines[first]
+                new[j] = slope * top + base + top * count[j] - tokens[j]
         best = new
         back.append(cut)
     out, j = [], n
     for cut in reversed(back):
-        out.append(int(top[j - 1]))
+        out.append(cells[j - 1][0])
         j = cut[j]
         if j == 0:
             break
     return sorted(out)
 
 
-def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", budget: int = 16_384, buckets: int = 16, shard: int = 4096, vocabulary: str = VOCABULARY) -> DataFrame:
+def _hidden(a: tuple, b: tuple, c: tuple) -> bool:
+    """Whether line b lies nowhere below both a and c (slopes fall from a to c)."""
+    return (c[1] - a[1]) * (a[0] - b[0]) <= (b[1] - a[1]) * (a[0] - c[0])
+
+
+def pack(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text", budget: int = 16_384, buckets: int = 16, shard: int = 4096) -> DataFrame:
     """Per row: the id as doc_id, n_tokens, bucket, bucket_tokens (its boundary), batch_id, slot (place in the batch), padding."""
-    lengths = written(token_counts(docs, id_col, text_col, vocabulary))
+    lengths = written(token_counts(docs, vocabulary, id_col, text_col))
     cells = histogram(lengths)
     tops = boundaries(cells, buckets) or [0]
-    held = [sum(n for top, n, _ in cells if low < top <= high) for low, high in zip([-1, *tops], tops, strict=False)]
+    held = [sum(n for top, n in cells if low < top <= high) for low, high in zip([-1, *tops], tops, strict=False)]
     array = lambda xs: F.array(*[F.lit(int(x)).cast("long") for x in xs])
     rows = lengths.withColumn("bucket", F.size(F.filter(array(tops), lambda x: x < F.col("n_tokens"))))
     # As many shards as the bucket's count asks for.

@@ -8,6 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+#: The vocabulary that texts are counted with: a parameter of the packing queries.
+VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
+
+
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -18,7 +22,7 @@ def _scored(spark: SparkSession, sf_dir: str, operator, label: str, fold: tuple[
 
     held_out = F.coalesce(remainder("doc_id", fold[0]) == fold[1], F.lit(False))
     docs = _table(spark, sf_dir, "documents")
-    sample = labelled_sample(docs, _table(spark, sf_dir, "labels").where(~held_out), label, rows=rows, max_chars=100_000)
+    sample = labelled_sample(docs, _table(spark, sf_dir, "labels").where(~held_out), label, rows=rows)
     out = operator.score(docs.select("doc_id", "text"), operator.train(sample)).select(F.col("doc.doc_id").alias("doc_id"), "score")
     return out.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= cut).cast("int").alias("predicted"))
 
@@ -60,7 +64,7 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Length bucket, batch and slot of every document."""
     from .packing import pack
 
-    return pack(_table(spark, sf_dir, "documents"))
+    return pack(_table(spark, sf_dir, "documents"), VOCABULARY)
 
 
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -14,21 +14,37 @@ def remainder(id_col: str, of: int) -> Column:
     return F.pmod(F.crc32(F.col(id_col).cast("string")), F.lit(of))
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, rows: int, max_chars: int, id_col: str = "doc_id", text_col: str = "text") -> pa.Table:
+def chance(*columns: Column | str) -> Column:
+    """A number below _SPAN by a hash: rows that are equal in the columns share it, whatever their order and place."""
+    return F.pmod(F.xxhash64(*columns, F.lit("sample")), F.lit(_SPAN))
+
+
+def bounded_rows(rows: DataFrame, keys: list[str], most: int) -> DataFrame:
+    """About `most` rows, and no more, chosen by a hash of the keys; rows with equal keys are one row.
+
+    Copies are combined before the shuffle, so a row that is repeated however often can't fill the sample."""
+    rows = rows.withColumn("_chance", chance(*keys))
+    n = rows.agg(F.approx_count_distinct("_chance")).first()[0]
+    # A fifth more than wanted, as the count is approximate.
+    picked = rows.where(F.col("_chance") < min(_SPAN, most * _SPAN // 5 * 6 // max(1, n)))
+    return picked.dropDuplicates(keys).orderBy("_chance", *keys).limit(most).drop("_chance")
+
+
+def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, rows: int, id_col: str = "doc_id", text_col: str = "text") -> pa.Table:
     """text and label (0 or 1) of about `rows` labelled documents of each label, chosen by a hash of the id.
 
-    The bound holds whatever the size of the tables; texts of more than max_chars characters are left out of the sample.
-    A document with several labels counts with the highest one."""
+    The bound holds whatever the size of the tables, and texts of any length are taken.  A document with several labels counts
+    with the highest one; of rows that share an id the one with the smallest hash of its text is taken."""
     own = labels.where(F.col(id_col).isNotNull() & F.col(label).isin(0, 1)).groupBy(F.col(id_col).cast("long").alias("i")).agg(F.max(label).cast("int").alias("label"))
     counts = {r["label"]: r["n"] for r in own.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
-    chance = F.pmod(F.xxhash64("i", F.lit("sample")), F.lit(_SPAN))
     least = F.lit(0)
     for value, n in counts.items():
         least = F.when(F.col("label") == value, F.lit(min(_SPAN, rows * _SPAN // n))).otherwise(least)
     # At most about 2 * rows ids: the bound on what is broadcast.
-    chosen = F.broadcast(own.where(chance < least))
+    chosen = F.broadcast(own.where(chance("i") < least))
     texts = docs.select(F.col(f"`{id_col}`").cast("long").alias("i"), F.col(f"`{text_col}`").cast("string").alias("text")).where(F.col("text").isNotNull())
-    return texts.join(chosen, "i").where(F.char_length("text") <= max_chars).orderBy("i", "text").select("text", "label").toArrow()
+    one = texts.join(chosen, "i").groupBy("i", "label").agg(F.min(F.struct(F.xxhash64("text").alias("h"), "text")).alias("t"))
+    return one.select("i", "t.text", "label").orderBy("i").select("text", "label").toArrow()
 
 
 def distinct_rows(texts: pa.Array) -> list[int]:
