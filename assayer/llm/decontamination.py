@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import textcore as tc
-from .ngram_join import permutations
+from .ngram_join import permutations, signatures
 
 UNIT = 4
 #: Least similarity of a window for which MinHash is used, and most words of the items that never use it.
@@ -61,7 +61,6 @@ class Items:
         self.shingles = [np.unique(tc.runs(h[a:b], min(n, b - a))) for a, b in zip(w.first[:-1], w.first[1:], strict=True)]
         self.words = w.counts
         self.lengths = sorted({int(min(n, c)) for c in self.words if c})
-        a, b = permutations(hashes)
         self.classes, self.direct = {}, {}
         for length in self.lengths:
             of = [i for i, c in enumerate(self.words) if c and min(n, c) == length]
@@ -73,22 +72,29 @@ class Items:
                 seen = np.zeros(1 << 16, bool)
                 seen[(keys & tc.U(0xFFFF)).astype(np.int64)] = True
                 self.direct[length] = keys[order], owner[order], seen
-            low = [(self.shingles[i] >> tc.U(32)).astype(np.uint32) for i in of]
-            by_class = {}
-            for i, x in zip(of, low, strict=True):
-                by_class.setdefault(size_class(int(self.words[i])), []).append((i, [int((x * a[k] + b[k]).min()) for k in range(hashes)]))
+            by_class: dict[int, list[int]] = {}
+            for i in of:
+                by_class.setdefault(size_class(int(self.words[i])), []).append(i)
             tables = {}
-            for c, rows in by_class.items():
-                index = np.array([i for i, _ in rows])
-                values = np.array([v for _, v in rows], np.uint32)
+            for c, own in by_class.items():
+                values = signatures(np.concatenate([self.shingles[i] for i in own]), np.cumsum([0, *(len(self.shingles[i]) for i in own)]), hashes)
                 order = np.argsort(values, axis=0, kind="stable")
-                filters = []
-                for k in range(hashes):
-                    f = np.zeros(1 << 16, bool)
-                    f[values[:, k] & 0xFFFF] = True
-                    filters.append(f)
-                tables[c] = (index[order], np.take_along_axis(values, order, 0), filters)
+                tables[c] = (np.array(own)[order], np.take_along_axis(values, order, 0))
             self.classes[length] = tables
+        self._filters: dict[tuple[int, int], list[np.ndarray]] = {}
+
+    def __getstate__(self) -> dict:
+        return self.__dict__ | {"_filters": {}}
+
+    def filters(self, length: int, c: int) -> list[np.ndarray]:
+        """For each hash, which low halves of values occur; made once in each worker, as they are larger than what they are made of."""
+        if (length, c) not in self._filters:
+            _, values = self.classes[length][c]
+            own = np.zeros((self.hashes, 1 << 16), bool)
+            for k in range(self.hashes):
+                own[k, values[:, k] & 0xFFFF] = True
+            self._filters[length, c] = list(own)
+        return self._filters[length, c]
 
     def _is_exact(self, i: int) -> bool:
         m = len(self.shingles[i])
@@ -105,11 +111,14 @@ class Items:
             runs = tc.runs(hashes, length)
             # Shingles that reach beyond their text don't count.
             alive = np.arange(len(runs)) + length <= np.repeat(w.first[1:], w.counts)[: len(runs)]
-            pairs = np.concatenate([self._looked_up(runs, alive, w.first, length), self._candidates(runs, alive, w.first, self.classes[length])])
-            for d in np.unique(pairs[:, 0]):
+            pairs = np.concatenate([self._looked_up(runs, alive, w.first, length), self._candidates(runs, alive, w.first, length)])
+            found = np.unique(pairs[:, 0])
+            pairs = pairs[np.argsort(pairs[:, 0], kind="stable")]
+            begin = np.searchsorted(pairs[:, 0], found)
+            for d, at, end in zip(found, begin, np.append(begin, len(pairs))[1:], strict=True):
                 lo, hi = w.first[d], min(w.first[d + 1], len(runs))
                 own = np.unique(runs[lo:hi][alive[lo:hi]])
-                for i in pairs[pairs[:, 0] == d, 1]:
+                for i in pairs[at:end, 1]:
                     want = self.shingles[i]
                     at = np.searchsorted(own, want)
                     share = float((own[np.minimum(at, len(own) - 1)] == want).mean()) if len(own) else 0.0
@@ -143,8 +152,9 @@ class Items:
         enough = n / size >= self.threshold - 1e-12
         return np.stack([doc, item], 1)[enough]
 
-    def _candidates(self, runs: np.ndarray, alive: np.ndarray, first: np.ndarray, tables: dict) -> np.ndarray:
+    def _candidates(self, runs: np.ndarray, alive: np.ndarray, first: np.ndarray, length: int) -> np.ndarray:
         """Distinct pairs of document and item with an equal MinHash value in a window."""
+        tables = {c: (*table, self.filters(length, c)) for c, table in self.classes[length].items()}
         if not tables:
             return np.zeros((0, 2), np.int64)
         n = len(runs)
@@ -224,11 +234,11 @@ def find_leaks(docs: DataFrame, items: DataFrame, id_col: str = "item_id", text_
         # Blocks by hash: at most a few more than item_block items each, whatever their number.
         part = wanted if blocks == 1 else wanted.where(F.pmod(F.xxhash64("i", "t"), F.lit(blocks)) == b)
         table = part.toArrow()
-        sent = spark.sparkContext.broadcast((table.column("i").to_pandas().to_numpy(dtype=object), table.column("t").combine_chunks() if table.num_rows else pa.array([], pa.string())))
+        # The index is made once, here; its size is bounded by item_block.
+        sent = spark.sparkContext.broadcast(Items(table.column("i").to_pandas().to_numpy(dtype=object), table.column("t").combine_chunks() if table.num_rows else pa.array([], pa.string()), n, hashes, threshold))
 
         def search(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
-            ids, texts = sent.value
-            block = Items(ids, texts, n, hashes, threshold)
+            block, ids = sent.value, sent.value.ids
             for batch in tc.slices(batches):
                 doc, item, share = block.search(batch.column("text"))
                 old = batch.column("leaks")
