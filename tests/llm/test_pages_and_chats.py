@@ -47,6 +47,72 @@ def test_hidden_and_named_boilerplate_goes(weights, gone):
     assert html_text.extract(f"<article><p>One two three.</p>{gone}<p>Four five six.</p></article>", weights) == "One two three.\nFour five six."
 
 
+@pytest.mark.parametrize("name", ["content with-sidebar", "no-comments", "has-nav", "main sidebar-open", "page"])
+def test_a_layout_named_after_its_parts_is_kept(weights, name):
+    page = f'<body><nav><a>Home</a></nav><div class="{name}"><h1>Title here</h1><p>One two three.</p><div class="sidebar"><p>aside text</p></div><p>Four.</p></div></body>'
+    assert html_text.extract(page, weights) == "Title here\nOne two three.\nFour."
+    bare = f'<div class="{name}"><p>One two three four five.</p><p>Six.</p></div>'
+    assert html_text.extract(bare, weights) == "One two three four five.\nSix."
+
+
+def test_quotes_count_after_an_equals_sign_only(weights):
+    page = "<article><p title='it's'>First real words here.</p><p>It isn't gone, is it?</p><p data-a=\"x > y\" b='>'>last</p><p class=\"open>not closed</p></article>"
+    assert html_text.extract(page, weights) == "First real words here.\nIt isn't gone, is it?\nlast\nnot closed"
+
+
+def test_titles_forms_and_frames(weights):
+    assert html_text.extract("<header>Site name</header><article><header><h1>Own title</h1></header><p>Words of it.</p><footer>by me</footer></article>", weights) == "Own title\nWords of it."
+    assert html_text.extract("<body><form id=all><nav>menu</nav><div><h1>Title</h1><p>Some words in a form.</p></div></form></body>", weights) == "Title\nSome words in a form."
+    comments = "<main><h1>Title</h1><p>Some words.</p></main><section class=comments>" + "<article><p>a long opinion of someone about it</p></article>" * 30 + "</section>"
+    assert html_text.extract(comments, weights) == "Title\nSome words."
+
+
+def test_the_best_run_decides(weights):
+    """Without any mark or name, the weights of words and tags choose the region."""
+    links = "<div>" + "<div><a>one</a></div>" * 8 + "</div>"
+    page = f"<body>{links}<div><p>{'many words in a row ' * 9}</p><p>and an end</p></div>{links}</body>"
+    assert html_text.extract(page, weights) == ("many words in a row " * 9).strip() + "\nand an end"
+    heavy = html_text.Weights([])
+    heavy.weights = {"word": 0.01, "div": 5.0, "/div": -0.1, "a": 5.0}
+    assert "one" in html_text.extract(page, heavy)
+
+
+def test_region_is_brute_force():
+    """The text of random small pages against a plain reading of the definition: all runs tried, all containers tried."""
+    rng = random.Random(21)
+    weights = html_text.Weights([])
+    weights.weights = {"word": 1.0, "p": -0.7, "/p": -0.7, "div": -1.5, "/div": -1.5, "a": -2.0, "/a": -2.0, "word/boiler": -3.0}
+    for _ in range(150):
+        def piece(depth: int) -> str:
+            kind = rng.choice(["p", "p", "div", "a", "nav", "ad"]) if depth else "div"
+            inner = "".join(piece(depth + 1) for _ in range(rng.randint(1, 3))) if kind == "div" and depth < 3 else " ".join(rng.choice("abcdef") for _ in range(rng.randint(0, 5)))
+            return f'<div class="ad">{inner}</div>' if kind == "ad" else f"<{kind}>{inner}</{kind}>"
+
+        page = "<body>" + "".join(piece(0) for _ in range(rng.randint(1, 3))) + "</body>"
+        tokens, nodes = html_text.parse(page)
+        scores = [weights.score(t) for t in tokens]
+        n = len(scores)
+        best = max([(0.0, 0, 0), *((sum(scores[i:j]), -i, -(j - i)) for i in range(n) for j in range(i + 1, n + 1))])
+        lo, hi = -best[1], -best[1] - best[2]
+        words = [i for i in range(lo, hi) if tokens[i][0] == "text" and tokens[i][2].stand >= 0]
+        want = ""
+        if best[0] > 1e-9 and words:
+            holders = [x for x in nodes if x.name in html_text.HOLDERS and x.first <= words[0] and words[-1] < x.last]
+            home = min(holders, key=lambda x: x.last - x.first)
+            blocks, block = [], []
+            for kind, value, node in tokens[home.first : home.last]:
+                if kind == "text" and node.stand >= 0:
+                    block.append(value)
+                elif kind == "tag" and value.lstrip("/") in html_text.BLOCKS:
+                    blocks.append(block)
+                    block = []
+            want = "\n".join(x for b in [*blocks, block] if (x := " ".join("".join(b).split())))
+        got_lo, got_hi = html_text.best_run(scores)
+        assert sum(scores[got_lo:got_hi]) == pytest.approx(best[0])
+        if (got_lo, got_hi) == (lo, hi) or not want:
+            assert html_text.extract(page, weights) == want, page
+
+
 def test_weights_have_their_signs(weights):
     assert weights.of("word") > 0 and all(w < 0 for k, w in weights.weights.items() if k != "word")
 

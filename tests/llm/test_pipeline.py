@@ -68,3 +68,53 @@ def test_everything_left_is_packed(spark, steps):
     assert sorted(r["doc_id"] for r in steps[5]) == sorted(r["doc_id"] for r in steps[4])
     assert len({(r["batch_id"], r["slot"]) for r in steps[5]}) == len(steps[5])
     assert corpus_pipeline.run(spark, DATA).count() == len(steps[5])
+
+
+@pytest.fixture(scope="module")
+def odd(spark, tmp_path_factory):
+    """A small corpus of awkward rows, its folder and what the stages make of it."""
+    import random
+
+    from assayer.llm.durable import written
+
+    rng = random.Random(31)
+    say = lambda n: " ".join(rng.choice(["the", "cat", "house", "green", "water", "stone", "under", "night", "seven", "paper", "walks"]) + rng.choice(["", "s", "ly"]) for _ in range(n))
+    item, base, long = say(30), say(80), say(9000)
+    rows = [(k, say(60), "en", "s", None, str(k), 0) for k in range(30)]
+    rows += [
+        (None, say(50), "en", None, 5, "x", 1), (None, None, None, None, None, None, None), (40, "", "en", "s", 0, "", 2), (41, "12 34 !", None, "s", 7, "", 3), (42, base, "en", "s", None, "first", 4), (43, base + " more", None, "s", None, "near", 5), (42, base, "en", "s", None, "again", 6),
+        (44, say(20) + " " + item + " " + say(20), "en", "s", None, "leak", 7), (45, long, "en", "s", None, "long", 8), (46, " ".join(long.split()[100:160]) + " " + say(100), None, "s", None, "repeat", 9), (47, " ".join(long.split()[200:240]), None, "s", None, "all of it repeats", 10),
+    ]
+    folder = tmp_path_factory.mktemp("odd")
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, lang_pred string, tx int")
+    docs.write.parquet(f"{folder}/documents.parquet")
+    spark.createDataFrame([(1, item), (2, None), (None, "")], "item_id long, text string").write.parquet(f"{folder}/benchmark.parquet")
+    out = [docs]
+    for _, stage in corpus_pipeline.STAGES:
+        out.append(written(stage(spark, out[-1], str(folder))))
+    return str(folder), [[r.asDict() for r in df.collect()] for df in out]
+
+
+def test_odd_rows(odd):
+    _, steps = odd
+    ids = lambda k: sorted((r["doc_id"] if r["doc_id"] is not None else -1) for r in steps[k])
+    assert all(set(rows[0]) == set(steps[0][0]) for rows in steps[:-1])
+    every = ids(0)
+    assert ids(1) == [i for i in every if i not in (40, 41)][1:]  # of the two without an id the one without a text goes
+    assert all(r["lang"] == "en" for r in steps[1])
+    assert ids(2) == sorted(set(ids(1)) - {43})  # one of the repeated rows, and the smaller id of the near copies
+    third = {r["doc_id"]: r for r in steps[3]}
+    assert ids(3) == ids(2) and third[47]["text"] == "" and third[47]["n_chars"] == 0 and third[46]["n_chars"] == len(third[46]["text"])
+    assert third[45]["text"] == next(r["text"] for r in steps[0] if r["doc_id"] == 45) and third[45]["n_chars"] is None
+    assert ids(4) == sorted(set(ids(3)) - {44})
+    assert ids(5) == ids(4) and next(r for r in steps[5] if r["doc_id"] == 47)["n_tokens"] == 0
+    kept = {r["tx"]: r["lang_pred"] for r in steps[4]}
+    assert all(kept[r["tx"]] == r["lang_pred"] for r in steps[0] if r["tx"] in kept)  # columns whose names clash with ours
+
+
+def test_empty_table(spark, odd, tmp_path):
+    folder, _ = odd
+    docs = spark.read.parquet(f"{folder}/documents.parquet").limit(0)
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0

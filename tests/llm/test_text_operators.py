@@ -8,11 +8,13 @@ import re
 import numpy as np
 import pyarrow as pa
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from assayer.llm import decontamination, fingerprints, language_id, ngram_join, packing, quality, substring_dedup, toxicity
 from assayer.llm import textcore as tc
 from assayer.llm.components import components
+from assayer.llm.queries import VOCABULARY
 
 SCHEMA = "doc_id long, text string, lang string, key long, n_words string"
 
@@ -112,6 +114,38 @@ def test_bayesian_bound_is_monotone():
     assert bounds == sorted(bounds) and bounds[-1] < 0.8 * 128
 
 
+def test_ties_are_told_apart_by_64_bits(spark):
+    """Texts of one id whose 32-bit hashes are equal keep their own words."""
+    seen, n = {}, 0
+    import struct
+
+    def murmur(raw):  # the 32-bit hash with seed 42 of text whose length is a multiple of four
+        h = 42
+        for (k,) in struct.iter_unpack("<I", raw):
+            k = k * 0xCC9E2D51 & 0xFFFFFFFF
+            k = (k << 15 | k >> 17) * 0x1B873593 & 0xFFFFFFFF
+            h = ((h ^ k) << 13 | (h ^ k) >> 19) & 0xFFFFFFFF
+            h = h * 5 + 0xE6546B64 & 0xFFFFFFFF
+        h ^= len(raw)
+        for s, m in ((16, 0x85EBCA6B), (13, 0xC2B2AE35), (16, 1)):
+            h = (h ^ h >> s) * m & 0xFFFFFFFF
+        return h
+
+    pairs = []
+    while len(pairs) < 3:
+        t = f"w{n:07d}"
+        if (h := murmur(t.encode())) in seen:
+            pairs.append((seen[h], t))
+        seen[h], n = t, n + 1
+    run = " ".join(f"x{k}" for k in range(25))
+    for a, b in pairs:
+        # The hash of a text that begins alike goes on alike; only one of them repeats the run.
+        tail = " " + run + " " * (-(len(run) + 1) % 4)
+        texts = [(None, a + tail), (None, b + " y" * ((len(tail)) // 2)), (None, run)]
+        out = {r.doc.text: r.n_removed for r in substring_dedup.substring_dedup(spark.createDataFrame(texts, "doc_id long, text string")).collect()}
+        assert sorted([out[texts[0][1]], out[run]]) == [0, 25] and len(out) == 3
+
+
 def test_components(spark):
     rng = random.Random(2)
     edges = [(rng.randint(0, 150), rng.randint(0, 150)) for _ in range(90)] + [(k, k + 1) for k in range(1000, 1040)]
@@ -237,23 +271,123 @@ def test_quality(spark):
     assert quality.train(pa.table({"text": pa.array([], pa.string()), "label": pa.array([], pa.int32())})).scores(pa.array(["x"]))[0] == 0.5
 
 
+def test_quality_scores_are_the_definition(spark):
+    """Scores of a fitted model against the sum over all pairs of features, text by text."""
+    rng = random.Random(33)
+    texts = [" ".join(rng.choice(["Plain", "words", "in", "a", "row", "!!!", "$$"]) for _ in range(rng.randint(0, 25))) for _ in range(80)]
+    model = quality.train(pa.table({"text": texts, "label": [int("!!!" not in t) for t in texts]}), buckets=64, rank=3, bins=4)
+    number, x, first = model.features(pa.array(texts))
+    for d, t in enumerate(texts):
+        i, v = number[first[d] : first[d + 1]], x[first[d] : first[d + 1]]
+        # Words: each bucket once, scaled to length 1; then one bin of each statistic.
+        buckets = sorted({int(h % np.uint64(64)) for h in tc.words(*tc.utf8(pa.array([t])), tc.SOLID).hashes()})
+        assert sorted(i[i < 64].tolist()) == buckets and (not buckets or np.isclose((v[i < 64] ** 2).sum(), 1))
+        assert (i >= 64).sum() == len(model.edges) and (v[i >= 64] == 1).all()
+        raw = model.w0 + sum(model.w[a] * p for a, p in zip(i, v, strict=True)) + sum(model.v[i[a]] @ model.v[i[b]] * v[a] * v[b] for a in range(len(i)) for b in range(a + 1, len(i)))
+        assert model.scores(pa.array([t]))[0] == pytest.approx(1 / (1 + np.exp(-raw)))
+    rows = [(1, "plain words " * 100_000, "s"), (2, texts[0], None), (2, texts[0], None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, score string")
+    out = quality.score(df, model).collect()
+    assert len(out) == 3 and len({r.score for r in out if r.doc.doc_id == 2}) == 1 and quality.score(df.limit(0), model).count() == 0
+
+
+def test_samples_are_bounded_whatever_repeats(spark):
+    from assayer.llm.samples import bounded_rows, labelled_sample
+
+    docs = spark.createDataFrame([(i % 3 if i < 600 else i, f"text {i % 5 if i < 600 else i}") for i in range(1000)] + [(None, "no id")] * 50, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in [0, 1, 2, *range(600, 1000)]] * 2 + [(None, 1)], "doc_id long, toxic int")
+    sample = labelled_sample(docs, labels, "toxic", 100)
+    assert 120 < sample.num_rows < 280 and len(set(sample.column("text").to_pylist())) >= sample.num_rows - 2
+    assert labelled_sample(docs, labels.limit(0), "toxic", 100).num_rows == 0
+    few = bounded_rows(docs, ["doc_id", "text"], 30).collect()
+    assert 0 < len(few) <= 30 and len(set(few)) == len(few)
+    same = spark.createDataFrame([(None, "abc", "xx")] * 5000 + [(k, f"abc {k}", "yy") for k in range(50)], "doc_id long, text string, lang string")
+    assert set(language_id.train(same).langs) == {"xx", "yy"}
+    assert {r.lang_pred for r in language_id.identify(spark.createDataFrame([(1, "abc " * 200_000)], "doc_id long, text string"), language_id.train(same)).collect()} <= {"xx", "yy"}
+    assert language_id.identify(same.limit(0), language_id.train(same)).count() == 0
+
+
 def test_toxicity_grammar():
     model = toxicity.ToxicityModel(toxicity.Lexicon({"idiot", "moron"}, {"vequ"}))
-    events = lambda t: [e for _, out, _ in model.clauses(t) for _, e in out]
+    events = lambda t: [e for _, _, out, _ in model.clauses(t) for e in out]
     assert events("What an idiot.") == ["insult"]
     assert events("you are a moron, he sat") == ["targeted"]
     assert events("he is not an idiot") == ["negated"]
     assert events("she said that he is a moron") == ["reported"]
     assert events("I will kill you") == ["threat"] and events("kill the process") == []
     assert events("vequaire là. Rien") == ["insult"] and events("not bad. idiot") == ["insult"]
-    scores = model.scores(pa.array(["", None, "nothing here", "you idiot", "idiot", "not an idiot"]))
-    assert scores[0] == scores[1] == scores[2] < scores[5] < scores[4] < scores[3]
-    assert model.grammar.run(["TARGET", "INSULT"])[1] == toxicity.PRIOR["targeted"]
+    assert events("idiot you") == events("you idiot") == events("idiot that they are you") == ["targeted"]
+    assert events("idiot one two three four you") == ["insult"] and events("idiot moron you") == ["insult", "targeted"]
+    assert events("do not kill the process") == events("someone said kill switch") == [] and events("he will not kill you") == ["negated"]
+    scores = model.scores(pa.array(["", None, "nothing here", "you idiot", "idiot", "not an idiot", "kill the process", "do not kill the process", "never kill time", "someone said kill switch"]))
+    assert scores[0] == scores[1] == scores[2] == scores[6] == scores[7] == scores[8] == scores[9] < scores[5] < scores[4] < scores[3]
+    assert model.grammar.run(["TARGET", "INSULT", "END"])[1] == toxicity.PRIOR["targeted"]
+
+
+def _interpreted(labels):
+    """The events of a clause by the five machines' definitions, hit by hit."""
+    hits = [i for i, x in enumerate(labels) if x in ("INSULT", "THREAT")]
+    out = []
+    for i in hits:
+        reported = "SPEECH" in labels[:i]
+        negated = not reported and "NEGATION" in labels[max(0, i - 3) : i]
+        aimed = "TARGET" in labels[max(0, i - 4) : i]
+        after = labels[i + 1 : i + 5]
+        if "TARGET" in after and not aimed:
+            aimed = not any(x in ("INSULT", "THREAT") for x in after[: after.index("TARGET")])
+        if labels[i] == "THREAT" and not aimed:
+            continue
+        out.append("reported" if reported else "negated" if negated else "threat" if labels[i] == "THREAT" else "targeted" if aimed else "insult")
+    return out
+
+
+def test_composed_grammar_is_the_interpreter():
+    rng, machine = random.Random(12), toxicity.grammar()
+    names = [x for x in toxicity.LABELS if x != "END"]
+    for _ in range(4000):
+        labels = rng.choices(names, [3, 3, 2, 2, 1, 5], k=rng.randint(0, 12))
+        out, weight = machine.run([*labels, "END"])
+        want = _interpreted(labels)
+        assert sorted(e for e in out if e) == sorted(want), labels
+        assert weight == pytest.approx(sum(toxicity.PRIOR[e] for e in want))
+
+
+def test_negation_and_report_never_raise_a_score():
+    rng = random.Random(13)
+    model = toxicity.ToxicityModel(toxicity.Lexicon({"idiot", "moron"}, set()))
+    words = ["idiot", "moron", "kill", "you", "tree", "went", "is"]
+    for fitted in (False, True):
+        if fitted:  # even when the sample says that negated insults are the toxic ones
+            texts = ["he is not an idiot"] * 40 + ["what an idiot", "you moron"] * 20
+            model.fit(pa.array(texts), np.array([1] * 40 + [0] * 40))
+        for _ in range(300):
+            clauses = [[rng.choice(words) for _ in range(rng.randint(1, 7))] for _ in range(rng.randint(1, 4))]
+            k = rng.randrange(len(clauses))
+            base = ". ".join(" ".join(c) for c in clauses)
+            at = rng.randrange(len(clauses[k]) + 1)
+            for added in ("not", "said"):
+                # In the place of a word without a part, so distances stay.
+                other = [list(c) for c in clauses]
+                if at < len(other[k]) and other[k][at] in ("tree", "went", "is"):
+                    other[k][at] = added
+                    plain, changed = model.scores(pa.array([base, ". ".join(" ".join(c) for c in other)]))
+                    assert changed <= plain + 1e-12
+
+
+def test_toxicity_edge_cases(spark):
+    model = toxicity.ToxicityModel(toxicity.Lexicon({"idiot"}, set()))
+    long = "tree " * 200_000 + "you idiot"
+    rows = [(1, long, 0.5), (2, "you idiot", None), (2, "you idiot", None), (None, None, 1.0)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, score double")
+    out = [(r.doc.doc_id, r.doc.score, r.score) for r in toxicity.score(df, model).collect()]
+    assert len(out) == 4 and len({s for i, _, s in out if i in (1, 2)}) == 1 and {c for _, c, _ in out} == {0.5, None, 1.0}
+    assert toxicity.score(df.limit(0), model).count() == 0
+    assert toxicity.train(pa.table({"text": pa.array([], pa.string()), "label": pa.array([], pa.int32())})).scores(pa.array(["you idiot"]))[0] > 0.3
 
 
 def test_speech_goes_on_after_commas_and_colons():
     model = toxicity.ToxicityModel(toxicity.Lexicon({"idiot", "moron"}, set()))
-    events = lambda t: [e for _, out, _ in model.clauses(t) for _, e in out]
+    events = lambda t: [e for _, _, out, _ in model.clauses(t) for e in out]
     assert events("he said, you are an idiot") == events("she wrote: you moron") == events("he said, well, \u201cyou idiot\u201d") == ["reported"]
     assert events("he said. you are an idiot") == events("he said hello; you idiot") == events("well, you idiot") == ["targeted"]
 
@@ -262,7 +396,7 @@ def test_toxicity_evidence_is_the_grammar_whatever_marks_touch_a_word():
     model = toxicity.ToxicityModel(toxicity.Lexicon({"idiot", "connard", "ηλιθιος"}, {"vequ"}))
     marks = ["", "\u201c", "\u201d", "\u2019", "\u00a0", "\u2014", "\u2026", "\u00ab", "\u00bf", "\u3000", "\u0301", "\u0130", "é", "_", "."]
     texts = [f"so {a}{w}{b} you" for a in marks for b in marks for w in ("idiot", "Connard", "vequaire", "kill", "ΗΛΙΘΙΟΣ", "tree")]
-    found = [any(True for _ in model.clauses(t)) for t in texts]
+    found = [any(True for _ in model.clauses(t)) for t in texts]  # each of these has an aim
     assert model.evidence(pa.array(texts)).any(axis=1).tolist() == found
     assert sum(found) > len(texts) / 2
 
@@ -287,7 +421,7 @@ def test_toxicity_learns_words_and_stems(spark):
 def _weights(t):
     out = collections.Counter()
     for w, n in collections.Counter((t or "").split()).items():
-        out[w] = n * min(255, len(w))
+        out[w] = n * len(w)
     return out
 
 
@@ -295,26 +429,32 @@ def test_fingerprints(spark):
     rng = random.Random(6)
     word = lambda: "".join(rng.choice("abcdefgh") for _ in range(rng.randint(2, 7)))
     texts = [" ".join(word() for _ in range(60)) for _ in range(24)] + ["", None, "é", "same", "same"]
-    rows = [(5 * i, t, "x") for i, t in enumerate(texts)] + [(None, "first of all", "x"), (20, "tie on an id", "y")]
+    rows = [(5 * i, t, "x") for i, t in enumerate(texts)] + [(None, "first of all", "x"), (20, "tie on an id", "y"), (1 << 62, "far away", "z"), (-(1 << 62), "x" * 70_000 + " and more", "z")]
+    rows += [(60, "told again and again", str(i)) for i in range(9)] + [(None, None, "x")] * 3
     df = spark.createDataFrame(rows, "doc_id long, text string, b string").repartition(3)
-    out = fingerprints.edited_fingerprints(df, samples=24).collect()
-    order = sorted(rows, key=lambda r: -(1 << 63) if r[0] is None else r[0])
-    assert len(out) == len(rows)
-    by_id = {r.doc_id: r for r in out if r.doc_id != 20}
-    errors = []
-    for k, (i, t, _) in enumerate(order):
-        after = order[(k + 1) % len(order)]
-        if 20 in (i, after[0]):
-            continue  # order inside a tie follows a hash
-        t, nxt, r = t or "", after[1] or "", by_id[i]
-        edited = t[: len(t) - len(t) // 2] + nxt[: len(t) // 2]
-        assert (r.n_chars, r.edited_sha256) == (len(t), hashlib.sha256(edited.encode()).hexdigest())
-        for got, other in ((r.near_edited, edited), (r.near_next, nxt)):
-            a, b = _weights(t), _weights(other)
-            true = sum((a & b).values()) / max(1, sum((a | b).values())) if a or b else 1.0
-            errors.append(got - true)
-    assert abs(np.mean(errors)) < 0.04 and np.std(errors) < 0.12
-    assert by_id[27 * 5].fingerprint == by_id[28 * 5].fingerprint and by_id[24 * 5].fingerprint == ""
+    for per_range in (256, 4):
+        out = fingerprints.edited_fingerprints(df, samples=24, per_range=per_range).collect()
+        # Ties on an id follow a hash of the text; an id that is null comes first.
+        order = sorted(rows, key=lambda r: (-(1 << 63) if r[0] is None else r[0], np.int64(np.uint64(xxhash.xxh64((r[1] or "").encode(), seed=42).intdigest()).astype(np.int64))))
+        want, errors = [], []
+        for k, (i, t, _) in enumerate(order):
+            t, nxt = t or "", order[(k + 1) % len(order)][1] or ""
+            edited = t[: len(t) - len(t) // 2] + nxt[: len(t) // 2]
+            want.append((i, len(t), hashlib.sha256(edited.encode()).hexdigest(), edited, nxt, t))
+        assert sorted((str(r.doc_id), r.n_chars, r.edited_sha256) for r in out) == sorted((str(w[0]), *w[1:3]) for w in want)
+        # Rows that repeat an id and its text differ in the next document alone.
+        likeness = lambda a, b: sum((_weights(a) & _weights(b)).values()) / max(1, sum((_weights(a) | _weights(b)).values())) if a.split() or b.split() else 1.0
+        got, true = collections.defaultdict(list), collections.defaultdict(list)
+        for r in out:
+            got[r.doc_id, r.n_chars, r.edited_sha256].append((r.near_next, r.near_edited))
+        for i, n, sha, edited, nxt, t in want:
+            true[i, n, sha].append((likeness(t, nxt), likeness(t, edited)))
+        for key, pairs in true.items():
+            for x, y in zip(sorted(got[key]), sorted(pairs), strict=True):
+                errors += [x[0] - y[0], x[1] - y[1]]
+        assert abs(np.mean(errors)) < 0.04 and np.std(errors) < 0.12
+        prints = {r.doc_id: r.fingerprint for r in out}
+        assert prints[27 * 5] == prints[28 * 5] and prints[24 * 5] == ""
     assert fingerprints.edited_fingerprints(df.limit(0), samples=4).count() == 0
 
 
@@ -340,14 +480,20 @@ def test_gamma_quantiles():
 def test_boundaries_are_optimal():
     rng = random.Random(8)
     lengths = [rng.randint(0, 30) for _ in range(80)]
-    cells = [(v, n, v * n) for v, n in sorted(collections.Counter(lengths).items())]
     import itertools
 
-    tops = [c[0] for c in cells]
-    padding = lambda cut: sum(min(b for b in cut if b >= x) - x for x in lengths)
-    best = min(padding([*c, tops[-1]]) for c in itertools.combinations(tops[:-1], 2))
-    assert padding(packing.boundaries(cells, 3)) == best
-    assert packing.boundaries([], 4) == [] and packing.boundaries([(7, 2, 14)], 4) == [7]
+    padding = lambda cut, of: sum(min(b for b in cut if b >= x) - x for x in of)
+    for of in (lengths, [x * 977 + rng.randint(0, 400) for x in lengths[:25]], [rng.choice([0, 5, 2000, 2001, 90_000]) for _ in range(40)]):
+        cells = sorted(collections.Counter(of).items())
+        tops = [c[0] for c in cells]
+        for buckets in (1, 2, 3, 4):
+            if len(tops) >= buckets:
+                best = min(padding([*c, tops[-1]], of) for c in itertools.combinations(tops[:-1], buckets - 1))
+                cut = packing.boundaries(cells, buckets)
+                assert padding(cut, of) == best and len(cut) <= buckets
+    assert packing.boundaries([], 4) == [] and packing.boundaries([(7, 2)], 4) == [7] and packing.boundaries([(1, 1), (2, 1), (3, 1)], 9) == [1, 2, 3]
+    wide = packing.boundaries([(k, 1 + k % 7) for k in range(60_000)], 16)
+    assert len(wide) == 16 and wide[-1] == 59_999
 
 
 def test_packing(spark, docs):
@@ -355,9 +501,9 @@ def test_packing(spark, docs):
 
     import tiktoken
 
-    ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(packing.VOCABULARY, "rb"))}
+    ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(VOCABULARY, "rb"))}
     encode = tiktoken.Encoding("own", pat_str=packing.SPLIT, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
-    out = packing.pack(docs, budget=600, buckets=4, shard=5).collect()
+    out = packing.pack(docs, VOCABULARY, budget=600, buckets=4, shard=5).collect()
     assert sorted((r.doc_id or 0, r.n_tokens) for r in out) == sorted((x[0] or 0, len(encode(x[1] or ""))) for x in corpus())
     sizes = collections.Counter((r.bucket, r.batch_id) for r in out)
     for b in {r.bucket for r in out}:
@@ -367,5 +513,5 @@ def test_packing(spark, docs):
         own = sorted(n for (k, _), n in sizes.items() if k == b)
         assert own[1:] == [full] * (len(own) - 1) and own[0] <= full
     assert len({(r.batch_id, r.slot) for r in out}) == len(out)
-    assert packing.pack(docs.limit(0)).count() == 0
-    assert sum(len(r.doc_ids) for r in packing.batches(packing.pack(docs.where("doc_id is not null"), budget=600)).collect()) == len(corpus()) - 1
+    assert packing.pack(docs.limit(0), VOCABULARY).count() == 0
+    assert sum(len(r.doc_ids) for r in packing.batches(packing.pack(docs, VOCABULARY, budget=600)).collect()) == len(corpus())  # null ids too
