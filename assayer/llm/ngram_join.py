@@ -5,10 +5,11 @@ have a Jaccard similarity of at least `threshold`.
 
 1. One pass gives each text its class (a hash of its words: equal classes are copies, similarity 1) and `bands`
    hashes of `rows` MinHash values each.  Only one text of each class goes on.
-2. Texts that share a band with another form stars around the smallest of the band; the components of the stars
-   hold every candidate pair.  Bands are combined to (smallest, count) before the shuffle.
-3. The texts of a component meet in blocks of at most `block` texts, or, in larger components, in pairs of blocks,
-   so no task holds a whole large component.  Pairs that share a band compare their MinHash values step by step and
+2. Texts that share a band are candidates.  In a band of up to PAIRS texts those pairs are linked whose MinHash values (the
+   lowest byte of each) leave the threshold possible; in a larger one all are linked to the smallest of the band.  The components
+   of these links hold every similar pair.  Bands are combined to (smallest, count) before the shuffle.
+3. The texts of a component meet in blocks of at most `block` texts and BLOCK_BYTES bytes, or, in larger components, in pairs of
+   blocks, so no task holds a whole large component.  Pairs that share a band compare their MinHash values step by step and
    are dropped when the posterior probability that their similarity reaches the threshold falls below `tolerance`;
    the rest are verified on the exact shingle sets.  A block returns counts of links by text and a spanning forest
    of its links, never the pairs.
@@ -32,10 +33,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import textcore as tc
-from .components import components
-from .durable import written
+from .components import components, salted_join
+from .durable import discard, written
 
 _NO_ID = -(1 << 63)
+#: Texts of a band that are compared pair by pair before components are formed.
+PAIRS = 64
+#: Bytes of text in a block (one text may be longer).
+BLOCK_BYTES = 1 << 20
 
 
 def permutations(n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -73,13 +78,61 @@ def _profile(batches: Iterator[pa.RecordBatch], n: int, bands: int, rows: int) -
         hashes = w.hashes()
         none = pa.array(w.counts == 0)
         cls = pa.array(tc.signed(tc.wholes(hashes, w.first))) if len(hashes) else pa.array([0] * batch.num_rows, pa.int64())
-        keys = band_keys(signatures(*tc.shingles(hashes, w.first, n), bands * rows), bands, rows)
+        sigs = signatures(*tc.shingles(hashes, w.first, n), bands * rows)
+        keys = band_keys(sigs, bands, rows)
+        low = pa.FixedSizeBinaryArray.from_buffers(pa.binary(bands * rows), len(sigs), [None, pa.py_buffer(sigs.astype(np.uint8).tobytes())]).cast(pa.binary())
         yield pa.RecordBatch.from_arrays(
-            [batch.column("rid"), batch.column("tx"), pa.compute.if_else(none, pa.scalar(None, pa.int64()), cls), pa.ListArray.from_arrays(pa.array(np.arange(0, keys.size + 1, bands, dtype=np.int32)), pa.array(tc.signed(keys.ravel())))],
-            ["rid", "tx", "cls", "bands"],
+            [batch.column("rid"), batch.column("tx"), pa.compute.if_else(none, pa.scalar(None, pa.int64()), cls), pa.ListArray.from_arrays(pa.array(np.arange(0, keys.size + 1, bands, dtype=np.int32)), pa.array(tc.signed(keys.ravel()))), low, pa.array(np.diff(w.off))],
+            ["rid", "tx", "cls", "bands", "low", "bytes"],
         )
 
 
+def _band_links(batches: Iterator[pa.RecordBatch], values: int, threshold: float, tolerance: float) -> Iterator[pa.RecordBatch]:
+    """For rows (key, cls, low) sorted by key, a link of each text to the smallest of those of its key that it hangs together with."""
+    least = least_matches(threshold, tolerance, values)
+    key, cls, low = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros((0, values), np.uint8)
+    for batch in _and_end(batches):
+        if batch is not None and not batch.num_rows:
+            continue
+        if batch is not None:
+            key, cls = (np.concatenate([x, np.asarray(batch.column(c).to_numpy(zero_copy_only=False), np.int64)]) for x, c in ((key, "key"), (cls, "cls")))
+            own = b"".join(batch.column("low").to_pylist())
+            low = np.concatenate([low, np.frombuffer(own, np.uint8).reshape(-1, values)])
+        # The last key may go on in the next batch.
+        whole = len(key) if batch is None else int(np.searchsorted(key, key[-1]))
+        if whole:
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in _linked(key[:whole], cls[:whole], low[:whole], least)], ["u", "v"])
+            key, cls, low = key[whole:], cls[whole:], low[whole:]
+
+
+def _and_end(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch | None]:
+    yield from batches
+    yield None
+
+
+def _linked(key: np.ndarray, cls: np.ndarray, low: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
+    pairs = []
+    for step in range(1, PAIRS):
+        at = np.flatnonzero(key[step:] == key[:-step])
+        if not len(at):
+            break
+        for some in np.array_split(at, len(at) // 20_000 + 1):
+            pairs.append(np.stack([some, some + step], 1)[(low[some] == low[some + step]).sum(1) >= least])
+    root = np.arange(len(key))
+    if pairs:
+        i, j = np.concatenate(pairs).T
+        while True:
+            before = root.copy()
+            low_root = np.minimum(root[i], root[j])
+            np.minimum.at(root, i, low_root)
+            np.minimum.at(root, j, low_root)
+            root = root[root]
+            if (root == before).all():
+                break
+    far = np.flatnonzero(cls[root] != cls)
+    return cls[far], cls[root[far]]
+
+
 @lru_cache(maxsize=32)
 def least_matches(threshold: float, tolerance: float, seen: int) -> int:
     """The fewest equal values of `seen` with which a similarity, uniform beforehand, reaches the threshold with a probability of at least the tolerance."""
@@ -171,30 +224,43 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """Per row: rid (its id, the smallest long for null), tx (xxhash64 of its text), class_id, n_links (other rows that it links to),
     keep_rid and keep_tx (rid and tx of the row of its class that stays)."""
     texts = docs.select(F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(_NO_ID)).alias("rid"), F.xxhash64(f"`{text_col}`").alias("tx"), F.col(f"`{text_col}`").cast("string").alias("text"))
-    rows_of = written(texts.mapInArrow(tc.tidy(lambda it: _profile(it, n, bands, rows)), "rid long, tx long, cls long, bands array<long>"))
-    classes = written(rows_of.where("cls is not null").groupBy("cls").agg(F.count(F.lit(1)).alias("copies"), F.min(F.struct("rid", "tx")).alias("row"), F.min(F.when(F.col("rid") != _NO_ID, F.col("rid"))).alias("first_id"), F.first("bands").alias("bands")))
+    rows_of = written(texts.mapInArrow(tc.tidy(lambda it: _profile(it, n, bands, rows)), "rid long, tx long, cls long, bands array<long>, low binary, bytes long"))
+    classes = written(rows_of.where("cls is not null").groupBy("cls").agg(F.count(F.lit(1)).alias("copies"), F.min(F.struct("rid", "tx")).alias("row"), F.min(F.when(F.col("rid") != _NO_ID, F.col("rid"))).alias("first_id"), F.first("bands").alias("bands"), F.first("low").alias("low"), F.first("bytes").alias("bytes")))
 
     keys = classes.select("cls", F.explode("bands").alias("key"))
     shared = keys.groupBy("key").agg(F.min("cls").alias("v"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    candidates = components(keys.join(shared, "key").select(F.col("cls").alias("u"), "v").where("u <> v"))
+    banded = written(keys.join(shared, "key"))
+    stars = banded.where(F.col("n") > PAIRS).select(F.col("cls").alias("u"), "v").where("u <> v")
+    near = banded.where(F.col("n") <= PAIRS).join(classes.select("cls", "low").hint("merge"), "cls").select("key", "cls", "low")
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    links = near.repartition(parts, "key").sortWithinPartitions("key", "cls").mapInArrow(tc.tidy(lambda it: _band_links(it, bands * rows, threshold, tolerance)), "u long, v long")
+    candidates = components(links.union(stars))
 
-    sizes = candidates.groupBy("root").agg(F.count(F.lit(1)).alias("size"))
-    members = written(candidates.join(sizes, "root").join(classes.withColumnRenamed("cls", "node"), "node").select(F.col("node").alias("cls"), "copies", "row.rid", "row.tx", "root", "size"))
-    groups = max(1, members.where(F.col("size") <= block).count() // block)
-    blocks = F.ceil(F.col("size") / block).cast("int")
+    sizes = candidates.join(classes.select(F.col("cls").alias("node"), "bytes"), "node").groupBy("root").agg(F.count(F.lit(1)).alias("size"), F.sum("bytes").alias("held"))
+    # Blocks of a component: as many as its texts and their bytes ask for.
+    blocks = F.greatest(F.ceil(F.col("size") / block), F.ceil(F.col("held") / BLOCK_BYTES)).cast("int")
+    members = written(salted_join(candidates, sizes.withColumn("blocks", blocks), "root", "node").join(classes.withColumnRenamed("cls", "node"), "node").select(F.col("node").alias("cls"), "copies", "bytes", "row.rid", "row.tx", "root", "blocks"))
+    discard(banded, candidates)
+    small, other = F.col("blocks") == 1, F.col("other").cast("long")
+    texts_of, bytes_of = members.where(small).agg(F.count(F.lit(1)), F.coalesce(F.sum("bytes"), F.lit(0))).first()
+    # Small components share groups of about as many texts and bytes.
+    groups = max(1, texts_of // block, bytes_of // BLOCK_BYTES)
+    blocks = F.col("blocks")
     members = members.withColumn("side", F.pmod(F.xxhash64("cls", F.lit(7)), blocks).cast("long"))
-    small, other = F.col("size") <= block, F.col("other").cast("long")
     spread = members.withColumn("other", F.explode(F.when(small, F.array(F.lit(0))).otherwise(F.sequence(F.lit(0), blocks - 1)))).withColumn("cross", ~small & (other != F.col("side")))
     spread = spread.withColumn("g", F.when(small, F.pmod(F.xxhash64("root"), F.lit(groups))).otherwise(F.xxhash64("root", F.least("side", other), F.greatest("side", other))))
     # The candidates grow with the corpus: both sides are shuffled at any size, never broadcast.
-    spread = texts.join(spread.hint("shuffle_hash"), ["rid", "tx"]).dropDuplicates(["cls", "other"])
+    spread = texts.join(spread.hint("merge"), ["rid", "tx"]).dropDuplicates(["cls", "other"])
     found = written(spread.select("g", "cls", "copies", "side", "cross", "text").groupBy("g").applyInArrow(lambda t: _block(t, n, bands, rows, threshold, tolerance), "u long, v long, n long"))
 
     links = found.where("v is null").groupBy(F.col("u").alias("cls")).agg(F.sum("n").alias("links"))
     joined = components(found.where("v is not null").select("u", "v")).withColumnRenamed("node", "cls")
-    classes = classes.drop("bands").join(joined, "cls", "left").join(links, "cls", "left").withColumn("root", F.coalesce("root", "cls"))
-    heads = classes.groupBy("root").agg(F.min("first_id").alias("class_id"), F.min("row").alias("keep"))
-    classes = classes.join(heads, "root").select("cls", "class_id", "keep", (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"))
+    classes = classes.drop("bands", "low", "bytes").join(joined, "cls", "left").join(links, "cls", "left")
+    linked = classes.where("root is not null")
+    heads = linked.groupBy("root").agg(F.min("first_id").alias("class_id"), F.min("row").alias("keep"))
+    linked = salted_join(linked, heads, "root", "cls").select("cls", "class_id", "keep", "copies", "links")
+    classes = linked.union(classes.where("root is null").select("cls", F.col("first_id").alias("class_id"), F.col("row").alias("keep"), "copies", "links"))
+    classes = classes.select("cls", "class_id", "keep", (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"))
     own = F.col("cls").isNull()
     return rows_of.select("rid", "tx", "cls").join(classes, "cls", "left").select(
         "rid", "tx", F.when(own, F.nullif("rid", F.lit(_NO_ID))).otherwise(F.col("class_id")).alias("class_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"),
