@@ -66,8 +66,14 @@ _DURATION = r"^P(?:([0-9]+(?:\.[0-9]+)?)D)?(?:T(?:([0-9]+(?:\.[0-9]+)?)H)?(?:([0
 def duration_seconds(x: Column | str) -> Column:
     """Seconds of PnDTnHnMnS; null without any part, and for signs, years, months and weeks."""
     x = _col(x)
-    part = lambda k: F.coalesce(F.nullif(F.regexp_extract(x, _DURATION, k), F.lit("")).try_cast("double"), F.lit(0.0))
-    return F.when(x.rlike(_DURATION) & x.rlike(r"[0-9][DHMS]\z"), part(1) * 86400 + part(2) * 3600 + part(3) * 60 + part(4))
+    # One match puts the parts side by side; a text that doesn't match has a single piece.
+    pieces = F.split(F.regexp_replace(x, _DURATION, "$1,$2,$3,$4"), ",")
+
+    def seconds(p: Column) -> Column:
+        part = lambda k: F.coalesce(F.nullif(F.get(p, F.lit(k)), F.lit("")).try_cast("double"), F.lit(0.0))
+        return F.when((F.size(p) == 4) & F.exists(p, lambda s: s != "") & ~F.contains(x, F.lit(",")) & ~F.endswith(x, F.lit("T")), part(0) * 86400 + part(1) * 3600 + part(2) * 60 + part(3))
+
+    return F.when(x.isNotNull(), F.get(F.transform(F.array(pieces), seconds), F.lit(0)))
 
 
 _OFFSET = r"(Z|[+-](?:[01][0-9]|2[0-3]):[0-5][0-9])\z"

@@ -2,19 +2,30 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .findings import Table
 
 
-def _profile_aggs(fields: list[str], types: bool) -> list:
-    return [F.struct(F.lit(f).alias("field"), F.count(F.lit(1)).alias("nrows"), F.count_distinct(F.col(f"`{f}`")).alias("ndist"), F.count_if(F.col(f"`{f}`").isNull()).alias("missing"), (F.sort_array(F.collect_set(F.col("types").getField(f))) if types else F.array().cast("array<string>")).alias("types")).alias(f"_{i}") for i, f in enumerate(fields)]
-
-
 def field_profile(df: DataFrame, fields: list[str], types: bool = False) -> DataFrame:
-    """field, nrows, ndist, missing (and the storage types) of each field, from one scan."""
-    return df.agg(*_profile_aggs(fields, types)).select(F.explode(F.array(*[F.col(f"_{i}") for i in range(len(fields))])).alias("p")).select("p.*")
+    """field, nrows, ndist, missing (and the storage types) of each field, from one scan.
+
+    Two levels: rows are first counted by field, value and type, which combines before the shuffle and spreads a field's
+    values over all tasks; only the counts of distinct values meet by field.  A table without rows has a row for each field too."""
+    if not fields:
+        return df.sparkSession.createDataFrame([], "field string, nrows long, ndist long, missing long, types array<string>")
+    kind = lambda f: F.col("types").getField(f) if types else F.lit(None).cast("string")
+    cells = F.array(*[F.struct(F.lit(f).alias("field"), F.col(f"`{f}`").cast("string").alias("value"), kind(f).alias("type")) for f in fields])
+    counts = df.select(F.explode(cells).alias("c")).groupBy("c.field", "c.value", "c.type").agg(F.count(F.lit(1)).alias("n"))
+    by_value = counts.groupBy("field", "value").agg(F.sum("n").alias("n"), F.collect_set("type").alias("types"))
+    out = by_value.groupBy("field").agg(F.sum("n").alias("nrows"), F.count("value").alias("ndist"), F.sum(F.when(F.col("value").isNull(), F.col("n")).otherwise(0)).alias("missing"), F.sort_array(F.array_distinct(F.flatten(F.collect_set("types")))).alias("types"))
+    named = F.array(*[F.lit(f) for f in fields])
+    all_fields = df.sparkSession.range(1).select(F.explode(named).alias("field"))
+    zero = lambda c: F.coalesce(c, F.lit(0).cast("long")).alias(c)
+    return all_fields.join(out, "field", "left").select("field", zero("nrows"), zero("ndist"), zero("missing"), F.coalesce("types", F.array().cast("array<string>")).alias("types"))
 
 
 def table_extent(cells: DataFrame, keys: list[str], row: str = "row") -> DataFrame:
@@ -23,13 +34,17 @@ def table_extent(cells: DataFrame, keys: list[str], row: str = "row") -> DataFra
 
 
 def content_digests(cells: DataFrame) -> dict[str, str]:
-    """For each sheet a digest of its cells that doesn't depend on the order of rows: the digests of cells, with their places, are summed up."""
+    return {r[0]: r[1] for r in sheet_digests(cells).collect()}
+
+
+def sheet_digests(cells: DataFrame) -> DataFrame:
+    """sheet and digest of its cells, which doesn't depend on the order of rows: the digests of cells, with their places, are summed up."""
     fields = [c for c in ("row", "col", "type", "value", "formula") if c in cells.columns]
     line = F.sha2(F.to_json(F.struct(*fields)), 256)
     # Sums of 60-bit parts of the digests, so no task holds all of them.
     parts = [F.sum(F.conv(F.substring("_l", 1 + 15 * k, 15), 16, 10).cast("decimal(38,0)")).alias(f"p{k}") for k in range(4)]
     sums = cells.select("sheet", line.alias("_l")).groupBy("sheet").agg(F.count(F.lit(1)).alias("n"), *parts)
-    return {r[0]: r[1] for r in sums.select("sheet", F.sha2(F.concat_ws(":", *[F.col(c).cast("string") for c in sums.columns[1:]]), 256)).collect()}
+    return sums.select("sheet", F.sha2(F.concat_ws(":", *[F.col(c).cast("string") for c in sums.columns[1:]]), 256).alias("digest"))
 
 
 def record_changes(before: DataFrame, after: DataFrame, keys: list[str], fields: list[str] | None = None) -> DataFrame:
@@ -58,8 +73,10 @@ def inventory(tables: dict[str, Table], cells: DataFrame | None = None) -> list[
     return out
 
 
-def compare(old: list[dict], new: list[dict], before: dict[str, DataFrame], tables: dict[str, Table]) -> dict:
-    """Changes of sheets, fields, keys and contents, and of records where both snapshots have row keys."""
+def compare(old: list[dict], new: list[dict], before: dict[str, DataFrame], tables: dict[str, Table], keep: Callable[[str, DataFrame], str]) -> dict:
+    """Changes of sheets, fields, keys and contents, and of records where both snapshots have row keys.
+
+    The records that changed are handed to keep(sheet, changes), which tells where they are; only their counts come back here."""
     a, b = {s["sheet"]: s for s in old}, {s["sheet"]: s for s in new}
     out = {"added_sheets": [n for n in b if n not in a], "removed_sheets": [n for n in a if n not in b], "sheets": {}}
     for name in (n for n in a if n in b):
@@ -73,9 +90,12 @@ def compare(old: list[dict], new: list[dict], before: dict[str, DataFrame], tabl
             fields = [f for f in before[name].columns if f in t.fields]
             past, now = before[name].select(*fields), t.frame.select(*[f"`{f}`" for f in fields])
             if has_row_keys(past, t.key_field) and has_row_keys(now, t.key_field):
-                changes = {r["change"]: r["ids"] for r in record_changes(past, now, [t.key_field]).groupBy("change").agg(F.sort_array(F.collect_list(t.key_field)).alias("ids")).collect()}
-                entry["records"] = {f"{k}_ids": changes.get(k, []) for k in ("added", "removed", "modified")}
+                changes = record_changes(past, now, [t.key_field]).persist()
+                counts = {r["change"]: r["count"] for r in changes.groupBy("change").count().collect()}
+                entry["records"] = {k: counts.get(k, 0) for k in ("added", "removed", "modified")}
+                entry["record_changes"] = keep(name, changes)
+                changes.unpersist()
         elif t.key_scope == "entity":
-            entry["record_comparison"] = "not_assessed: repeated entity keys do not identify individual observations"
+            entry["record_comparison"] = "not_assessed: a key that is repeated does not tell which row became which"
         out["sheets"][name] = entry
     return out
