@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import geography as geo
@@ -13,30 +12,10 @@ from ..functions import scalars as sc
 from ..functions.spreadsheet import excel_temporal
 from ..operators import evidence, snapshots, structure, toponyms, values
 from ..operators.findings import ERROR, INFORMATION, WARNING, Rule, Table, evaluate, incomplete_checks, severity_counts
-
-Query = Callable[[SparkSession, str], DataFrame]
-QUERIES: dict[str, Query] = {}
-SQL: dict[str, str] = {}
-
-
-def query(sql: str | None) -> Callable[[Query], Query]:
-    def register(f: Query) -> Query:
-        QUERIES[f.__name__] = f
-        if sql:
-            SQL[f.__name__] = sql.strip()
-        return f
-
-    return register
-
-
-def _t(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
-    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    return df.select(*columns) if columns else df
-
-
-def _text(x: Column) -> Column:
-    return x.cast("string")
-
+from . import registry
+from .registry import Query, query
+from .registry import table_of as _t
+from .registry import text_of as _text
 
 @query("select l_orderkey, l_linenumber, 'value.bound' as rule_id, l_discount as original_value from lineitem where l_discount < 0.02 or l_discount > 0.08")
 def value_bound(spark, d):
@@ -117,10 +96,16 @@ def alias_collision(spark, d):
     return evidence.alias_collisions(rows, ["c_mktsegment", "c_nationkey"], ["identifier"])
 
 
-@query("with recursive e as (select n_nationkey as c, (n_nationkey * 5 + 3) % 25 as p from nation), r(root, node, d) as (select c, p, 1 from e union all select r.root, e.p, r.d + 1 from r join e on r.node = e.c where r.d < 25 and r.node <> r.root) select distinct root from r where root = node")
+_EDGES = "select s_suppkey as c, (s_suppkey * 7 + 3) % 1009 as p from supplier where s_suppkey % 6 <> 0 union all select s_suppkey, s_suppkey + 1 from supplier where s_suppkey % 5 = 0"
+
+
+@query(f"with recursive e as ({_EDGES}), r(root, node) as (select c, p from e union select r.root, e.p from r join e on r.node = e.c) select distinct a.root as node from r a join r b on a.node = b.root and b.root = b.node union select root from r where root = node")
 def lineage_cycle(spark, d):
-    edges = _t(spark, d, "nation").select(F.col("n_nationkey").alias("child"), ((F.col("n_nationkey") * 5 + 3) % 25).alias("parent"))
-    return evidence.cycle_members(edges, "child", "parent", 25)
+    """Nodes from which a cycle can be reached, as validate_lineage finds them."""
+    k = F.col("s_suppkey")
+    suppliers = _t(spark, d, "supplier", "s_suppkey")
+    edges = suppliers.where(k % 6 != 0).select(k.alias("child"), ((k * 7 + 3) % 1009).alias("parent")).union(suppliers.where(k % 5 == 0).select(k, k + 1))
+    return evidence.on_cycles(edges)
 
 
 @query("select node from (select s_nationkey as node from supplier union select n_regionkey + 23 as node from nation) a where node not in (select n_nationkey from nation)")
@@ -375,9 +360,11 @@ def rule_projection(spark, d):
 
 
 def queries() -> dict[str, Query]:
-    return dict(QUERIES)
+    from . import rule_queries  # noqa: F401  registers its own
 
+    return dict(registry.QUERIES)
 
-def oracle_sql() -> dict[str, str]:
-    return dict(SQL)
 
+def oracle_sql() -> dict[str, str]:
+    queries()
+    return dict(registry.SQL)
