@@ -10,6 +10,7 @@ from assayer.functions import scalars as sc
 from assayer.functions.spreadsheet import excel_temporal, format_kind
 from assayer.operators import evidence, toponyms, values
 from assayer.operators.findings import Findings, Table, has_errors
+from assayer.plans.run import resolve_batch
 from assayer.sources import tables as inputs
 
 
@@ -126,14 +127,54 @@ def test_register_aliases_and_lineage(spark):
 
 
 def test_deep_lineage_without_a_cycle_is_sound(spark):
-    deep = [("n", f"e{k}", f"e{k + 1}", "r") for k in range(70)]
+    deep = [("n", f"e{k}", f"e{k + 1}", "r") for k in range(200)]
     schema = "namespace string, child_id string, parent_id string, relationship string"
-    for rows, rules in ((deep, set()), ([*deep, ("n", "e70", "e69", "r")], {"lineage.cycle"})):
+    for rows, rules in ((deep, set()), ([*deep, ("n", "e200", "e0", "r")], {"lineage.cycle"})):
         found = Findings(spark)
         evidence.validate_lineage(found, spark.createDataFrame(rows, schema).coalesce(1), None)
         assert {r.rule_id for r in found.findings().collect()} == rules
 
 
+def test_stripping_is_the_same_on_executors_and_driver(spark, monkeypatch):
+    import random
+
+    rng = random.Random(3)
+    graphs = [[(k, k + 1) for k in range(6)], [(k, (k + 1) % 7) for k in range(7)] + [(9, 0), (3, 12), (20, 21)], [(rng.randint(0, 30), rng.randint(0, 30)) for _ in range(34)]]
+    for edges in graphs:
+        out = {}
+        for a, b in edges:
+            out.setdefault(a, set()).add(b)
+
+        def reach(x, out=out):
+            seen, todo = set(), [x]
+            while todo:
+                for y in out.get(todo.pop(), ()):
+                    if y not in seen:
+                        seen.add(y)
+                        todo.append(y)
+            return seen
+
+        loops = {x for x in out if x in reach(x)}
+        want = {x for x in out if x in loops or reach(x) & loops}
+        between = {x for x in want if x in loops or any(x in reach(y) for y in loops)}
+        df = spark.createDataFrame(edges, "child long, parent long").coalesce(1)
+        for limit in (50_000, 2):
+            monkeypatch.setattr(evidence, "LOCAL_EDGES", limit)
+            assert {r.node for r in evidence.on_cycles(df).collect()} == want
+            assert {r.node for r in evidence.on_cycles(df, keep_cycles_only=True).collect()} == between
+
+
+def test_vocabularies_of_any_size_give_the_same_findings(spark):
+    for size in (3, 1500):
+        codes = [f"c{k}" for k in range(size)]
+        rows = ["c1", " c2", "zz", None, "99"]
+        data = Table.of("data__t", spark.createDataFrame([(i + 2, x) for i, x in enumerate(rows)], "source_row long, v string"))
+        ref = Table.of("ref__c", spark.createDataFrame([(i + 2, x) for i, x in enumerate([*codes, "c1", None])], "source_row long, code string"), role="ref")
+        found = Findings(spark)
+        values.validate_values(found, {"data__t": data, "ref__c": ref}, {("data__t", "v"): values.FieldRule(ref_sheet="ref__c", ref_field="code", missing_codes='["99"]')})
+        assert sorted((r.rule_id, r.source_row, r.cell) for r in found.findings().collect()) == [("value.code_whitespace", 3, "A3"), ("value.controlled_code", 3, "A3"), ("value.controlled_code", 4, "A4"), ("value.legacy_missing_code", 6, "A6")]
+
+
 def test_place_references(spark, tmp_path):
     reverse, nodes = tmp_path / "reverse", tmp_path / "nodes"
     reverse.mkdir()
@@ -150,10 +191,55 @@ def test_place_references(spark, tmp_path):
     out = {r.id: r for r in done.collect()}
     assert [out[f"00{i}"].status for i in (0, 1, 2, 3, 4, 9)] == ["node_exact", "node_exact", "ambiguous", "osm_fallback", "unresolved", "unresolved"]
     assert out["001"].name == "TOUBA" and out["001"].osm_id == "1" and [c.id for c in out["002"].candidates] == [3, 4]
+    out_file = tmp_path / "places.geojson"
+    with pytest.raises(ValueError, match="009"):  # a point out of range stops the batch
+        resolve_batch(spark, str(tmp_path / "points.csv"), str(reverse), str(nodes), str(out_file))
+    assert not out_file.exists()
+    (tmp_path / "good.csv").write_text("".join((tmp_path / "points.csv").read_text().splitlines(keepends=True)[:-1]))
+    counts = resolve_batch(spark, str(tmp_path / "good.csv"), str(reverse), str(nodes), str(out_file))
+    assert counts == {"node_exact": 2, "ambiguous": 1, "osm_fallback": 1, "unresolved": 1}
+    written = json.loads(out_file.read_text())
+    assert [f["properties"]["id"] for f in written["features"]] == ["000", "001", "002", "003", "004"] and written["type"] == "FeatureCollection"
+    none = resolve_batch(spark, _headed(tmp_path), str(reverse), str(nodes), str(out_file))
+    assert none == {} and json.loads(out_file.read_text())["features"] == []
     made = [json.loads(r.feature) for r in toponyms.features(done).collect()]
     assert all(f["geometry"]["type"] == "Point" for f in made) and any(f["properties"].get("message") for f in made)
 
 
+def _headed(tmp_path):
+    (tmp_path / "none.csv").write_text("id,latitude,longitude\n")
+    return str(tmp_path / "none.csv")
+
+
+def _utm(lon, lat, zone, south):
+    """Forward Krueger series: easting and northing."""
+    import math
+
+    f = 1 / 298.257223563
+    n = f / (2 - f)
+    size = 6378137.0 / (1 + n) * (1 + n**2 / 4 + n**4 / 64) * 0.9996
+    alpha = (n / 2 - 2 * n**2 / 3 + 5 * n**3 / 16, 13 * n**2 / 48 - 3 * n**3 / 5, 61 * n**3 / 240)
+    p, d, e = math.radians(lat), math.radians(lon - (6 * zone - 183)), 2 * math.sqrt(n) / (1 + n)
+    t = math.sinh(math.atanh(math.sin(p)) - e * math.atanh(e * math.sin(p)))
+    a, b = math.atan2(t, math.cos(d)), math.atanh(math.sin(d) / math.hypot(1, t))
+    x = b + sum(k * math.cos(2 * j * a) * math.sinh(2 * j * b) for j, k in enumerate(alpha, 1))
+    y = a + sum(k * math.sin(2 * j * a) * math.cosh(2 * j * b) for j, k in enumerate(alpha, 1))
+    return 500_000 + size * x, size * y + (10_000_000 if south else 0)
+
+
+def test_plane_coordinates(spark):
+    """There and back within a hundred-millionth of a degree, and a known place."""
+    spots = [(31, False, 2.2945, 48.8582), (33, False, 15.0, 0.0), (56, True, 151.2153, -33.8568), (1, False, -179.9, 83.0), (60, True, 174.5, -79.9)]
+    for zone, south, lon, lat in spots:
+        x, y = _utm(lon, lat, zone, south)
+        got = spark.range(1).select(geo.from_projected(F.lit(x), F.lit(y), f"EPSG:{327 if south else 326}{zone:02}").alias("p")).first()["p"]
+        assert (got["lon"], got["lat"]) == (pytest.approx(lon, abs=1e-8), pytest.approx(lat, abs=1e-8))
+    assert _utm(2.2945, 48.8582, 31, False) == (pytest.approx(448251.8, abs=1), pytest.approx(5411932.7, abs=1))
+    edge = spark.range(1).select(geo.from_projected(F.lit(20037508.342789244), F.lit(20037508.342789244), "EPSG:3857").alias("p")).first()["p"]
+    assert (edge["lon"], edge["lat"]) == (pytest.approx(180.0), pytest.approx(85.0511287798))
+    assert geo.can_transform("epsg:32760") and not geo.can_transform("EPSG:32661") and not geo.can_transform("EPSG:2154")
+
+
 def test_radius_join_is_brute_force(spark):
     import math
     import random
@@ -176,7 +262,8 @@ def test_inputs(spark, tmp_path):
     (tmp_path / "iso.tab").write_text("# comment\nNA\tNamibia\nSN\tSenegal\n")
     assert sorted(r.code for r in inputs.read_country_codes(spark, str(tmp_path / "iso.tab")).collect()) == ["NA", "SN"]
     (tmp_path / "e.csv").write_text('a,b\n" x ",NA\n,"q""t"\n')
-    assert [tuple(r) for r in inputs.read_external_csv(spark, str(tmp_path / "e.csv")).collect()] == [(" x ", "NA"), ("", 'q"t')]
+    assert [tuple(r) for r in inputs.read_external_csv(spark, str(tmp_path / "e.csv")).collect()] == [(" x ", "NA", 1), ("", 'q"t', 2)]
+    assert {"NA", "FI", "SN"} <= set(inputs.iso_countries(spark)) and "QQ" not in inputs.iso_countries(spark)
     for bad in ({"x": 1}, {"max_cells": 0.5}, {"missing_token": ""}, {"enrich_toponyms": "yes"}, {"references": {"z": {}}}):
         with pytest.raises(ValueError):
             inputs.check_config(bad)
