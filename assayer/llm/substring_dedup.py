@@ -7,7 +7,7 @@ words also start earlier: in a text with a smaller id, or earlier in the same te
    shift below v that puts both on D.  Hashes of window - v + 1 words are taken only where
    place mod v is in D, so two equal windows share an equal anchor inside them, whatever their places.
 2. Anchors that occur once are dropped.  The windows around the others are the only ones that can repeat.
-3. Each such window is extended to its full length, hashed (64 bits) and kept unless it is its first occurrence.
+3. Each such window is extended to its full length, hashed by all its words (96 bits) and kept unless it is its first occurrence.
 4. The words of the rest are removed from the texts.
 
 A value that occurs many times in one map task leaves that task once (its other occurrences are settled
@@ -35,11 +35,13 @@ from . import textcore as tc
 
 #: Perfect difference sets by period (fixed values).
 COVERS = {1: (0,), 3: (0, 1), 7: (0, 1, 3), 13: (0, 1, 3, 9), 21: (0, 1, 4, 14, 16), 31: (0, 1, 3, 8, 12, 18), 57: (0, 1, 3, 13, 32, 36, 43, 52)}
+#: Makes of the words' hashes others, for the second hash of a window.
+_OTHER = tc.U(0xA24BAED4963EE407)
 #: Occurrences that a map task settles and packs at once, and that a task of keys or texts works on at once.
 FLUSH, STEP = 500_000, 400_000
-#: What a map task sends to one partition of keys: the sorted keys as steps, and for each its text (a number in rid and tie) and place;
+#: What a map task sends to one partition of keys: the sorted keys as steps, and for each its check, its text (a number in rid and tie) and place;
 #: then the text and place of occurrences that are settled already.  Numbers are stored by byte planes, which compress well.
-_PACK = "part int, keys binary, who binary, place binary, known_who binary, known_place binary, rid binary, tie binary"
+_PACK = "part int, keys binary, checks binary, who binary, place binary, known_who binary, known_place binary, rid binary, tie binary"
 #: What a task of keys sends to one partition of texts: texts, how many places each has, and the places.
 _PLACES = "part int, rid binary, tie binary, n binary, place binary"
 _RANGES = "rid long, tie long, at array<int>"
@@ -69,7 +71,7 @@ def _part_of(rid: np.ndarray, parts: int) -> np.ndarray:
 
 
 class _Packer:
-    """Gathers occurrences (key, rid, tie, place) of a map task and packs them by partition of keys.
+    """Gathers occurrences (key, check, rid, tie, place) of a map task and packs them by partition of keys.  Key and check are one hash of 96 bits.
 
     A key leaves with its first occurrence only.  If it has several, they are settled here: all of them
     (all_known), or all but the first."""
@@ -77,8 +79,8 @@ class _Packer:
     def __init__(self, parts: int, all_known: bool):
         self.parts, self.all_known, self.held, self.n = parts, all_known, [], 0
 
-    def add(self, key: np.ndarray, batch: pa.RecordBatch, doc: np.ndarray, place: np.ndarray) -> Iterator[pa.RecordBatch]:
-        self.held.append((key, _ints(batch.column("rid"))[doc], _ints(batch.column("tie"))[doc], place))
+    def add(self, key: np.ndarray, check: np.ndarray, batch: pa.RecordBatch, doc: np.ndarray, place: np.ndarray) -> Iterator[pa.RecordBatch]:
+        self.held.append((key, check, _ints(batch.column("rid"))[doc], _ints(batch.column("tie"))[doc], place))
         self.n += len(key)
         if self.n > FLUSH:
             yield from self.flush()
@@ -86,7 +88,7 @@ class _Packer:
     def flush(self) -> Iterator[pa.RecordBatch]:
         if not self.n:
             return
-        key, rid, tie, place = (np.concatenate(x) for x in zip(*self.held, strict=True))
+        key, check, rid, tie, place = (np.concatenate(x) for x in zip(*self.held, strict=True))
         self.held, self.n = [], 0
         order = np.lexsort((place, tie, rid))
         rid, tie = rid[order], tie[order]
@@ -95,16 +97,16 @@ class _Packer:
         who[order] = np.cumsum(fresh) - 1
         rid, tie = rid[fresh], tie[fresh]
         spot = (who << 32) | place
-        order = np.lexsort((spot, key))
-        key, spot = key[order], spot[order]
-        keep = np.concatenate([[True], (key[1:] != key[:-1]) | (spot[1:] != spot[:-1])])
-        key, spot = key[keep], spot[keep]
-        again = np.concatenate([[False], key[1:] == key[:-1]])
+        order = np.lexsort((spot, check, key))
+        key, check, spot = key[order], check[order], spot[order]
+        keep = np.concatenate([[True], (key[1:] != key[:-1]) | (check[1:] != check[:-1]) | (spot[1:] != spot[:-1])])
+        key, check, spot = key[keep], check[keep], spot[keep]
+        again = np.concatenate([[False], (key[1:] == key[:-1]) & (check[1:] == check[:-1])])
         known = again.copy()
         if self.all_known:
             known[:-1] |= again[1:]
         known = np.sort(spot[known])
-        key, spot = key[~again], spot[~again]
+        key, check, spot = key[~again], check[~again], spot[~again]
         part = ((key >> tc.U(32)) * tc.U(self.parts) >> tc.U(32)).astype(np.int64)
         cuts = np.searchsorted(part, np.arange(self.parts + 1))
         # Settled occurrences go out evenly by text, not by key.
@@ -117,8 +119,8 @@ class _Packer:
             if len(k) or len(y):
                 used, number = np.unique(np.concatenate([x, y]) >> 32, return_inverse=True)
                 number = number.astype(np.uint32)
-                rows.append((p, _planes(np.diff(k, prepend=tc.U(0))), _planes(number[: len(x)]), _planes((x & 0xFFFFFFFF).astype(np.uint32)), _planes(number[len(x) :]), _planes((y & 0xFFFFFFFF).astype(np.uint32)), rid[used].tobytes(), tie[used].tobytes()))
-        yield from _rows_of(rows, ["part", "keys", "who", "place", "known_who", "known_place", "rid", "tie"])
+                rows.append((p, _planes(np.diff(k, prepend=tc.U(0))), _planes(check[cuts[p] : cuts[p + 1]]), _planes(number[: len(x)]), _planes((x & 0xFFFFFFFF).astype(np.uint32)), _planes(number[len(x) :]), _planes((y & 0xFFFFFFFF).astype(np.uint32)), rid[used].tobytes(), tie[used].tobytes()))
+        yield from _rows_of(rows, ["part", "keys", "checks", "who", "place", "known_who", "known_place", "rid", "tie"])
 
 
 def _rows_of(columns: list[list], names: list[str]) -> Iterator[pa.RecordBatch]:
@@ -141,10 +143,10 @@ def _places(rid: np.ndarray, tie: np.ndarray, place: np.ndarray, parts: int) ->
     yield from _rows_of(rows, ["part", "rid", "tie", "n", "place"])
 
 
-def _later(key: np.ndarray, rid: np.ndarray, tie: np.ndarray, place: np.ndarray, all_known: bool) -> np.ndarray:
+def _later(key: np.ndarray, check: np.ndarray, rid: np.ndarray, tie: np.ndarray, place: np.ndarray, all_known: bool) -> np.ndarray:
     """Which occurrences aren't the first one of their key (all_known: those whose key has several)."""
-    order = np.lexsort((place, tie, rid, key))
-    twin = np.concatenate([[False], key[order][1:] == key[order][:-1]])
+    order = np.lexsort((place, tie, rid, check, key))
+    twin = np.concatenate([[False], (key[order][1:] == key[order][:-1]) & (check[order][1:] == check[order][:-1])])
     same_spot = twin.copy()
     for x in (rid, tie, place):
         same_spot[1:] &= x[order][1:] == x[order][:-1]
@@ -159,12 +161,12 @@ def _later(key: np.ndarray, rid: np.ndarray, tie: np.ndarray, place: np.ndarray,
 def _settle(batches: Iterator[pa.RecordBatch], all_known: bool, parts: int) -> Iterator[pa.RecordBatch]:
     """Places by text, of one partition of keys: the settled ones, and those whose key occurs again (all_known: all of them; else all but the first).
 
-    The packs are held as they came, 16 bytes for each occurrence; they are settled by ranges of keys of about STEP occurrences."""
+    The packs are held as they came, 20 bytes for each occurrence; they are settled by ranges of keys of about STEP occurrences."""
     held = []
     for batch in batches:
         for r in batch.to_pylist():
             rid, tie = np.frombuffer(r["rid"], np.int64), np.frombuffer(r["tie"], np.int64)
-            held.append((np.cumsum(_numbers(r["keys"], np.uint64), dtype=tc.U), _numbers(r["who"], np.uint32), _numbers(r["place"], np.uint32), rid, tie))
+            held.append((np.cumsum(_numbers(r["keys"], np.uint64), dtype=tc.U), _numbers(r["who"], np.uint32), _numbers(r["place"], np.uint32), rid, tie, _numbers(r["checks"], np.uint32)))
             known, spot = _numbers(r["known_who"], np.uint32), _numbers(r["known_place"], np.uint32).astype(np.int64)
             for at in range(0, len(known), STEP):
                 yield from _places(rid[known[at : at + STEP]], tie[known[at : at + STEP]], spot[at : at + STEP], parts)
@@ -180,8 +182,9 @@ def _settle(batches: Iterator[pa.RecordBatch], all_known: bool, parts: int) -> I
         key = np.concatenate([x[0][c] for x, c in zip(held, cut, strict=True)])
         if len(key):
             rid, tie = (np.concatenate([x[i][x[1][c]] for x, c in zip(held, cut, strict=True)]) for i in (3, 4))
-            place = np.concatenate([x[2][c] for x, c in zip(held, cut, strict=True)]).astype(np.int64)
-            hit = _later(key, rid, tie, place, all_known)
+            place, check = (np.concatenate([x[i][c] for x, c in zip(held, cut, strict=True)]) for i in (2, 5))
+            place = place.astype(np.int64)
+            hit = _later(key, check, rid, tie, place, all_known)
             yield from _places(rid[hit], tie[hit], place[hit], parts)
 
 
@@ -240,7 +243,7 @@ def _anchors(batches: Iterator[pa.RecordBatch], window: int, parts: int) -> Iter
         total = np.repeat(w.counts, w.counts)
         place = np.arange(len(w.start)) - np.repeat(w.first[:-1], w.counts)
         at = np.flatnonzero(on[place % period] & (total - place >= size) & (total >= window))
-        yield from pack.add(hashes[at], batch, np.repeat(np.arange(batch.num_rows), w.counts)[at], place[at])
+        yield from pack.add(hashes[at], np.zeros(len(at), np.uint32), batch, np.repeat(np.arange(batch.num_rows), w.counts)[at], place[at])
     yield from pack.flush()
 
 
@@ -260,10 +263,11 @@ def _candidates(batches: Iterator[pa.RecordBatch], window: int, parts: int, text
     pack = _Packer(parts, False)
     for batch in tc.slices(_text(b, text_col) for b in batches):
         w = tc.words(*tc.utf8(batch.column("text")), tc.SOLID)
-        hashes = tc.runs(w.hashes(), window)
+        own = w.hashes()
+        hashes, checks = tc.runs(own, window), (tc.runs(tc.mix(own ^ _OTHER), window) >> tc.U(32)).astype(np.uint32)
         owner = np.repeat(np.arange(batch.num_rows), w.counts)
         at = np.flatnonzero(_marked(batch, w) & (np.arange(len(w.start)) + window <= w.first[1:][owner]))
-        yield from pack.add(hashes[at], batch, owner[at], at - w.first[:-1][owner[at]])
+        yield from pack.add(hashes[at], checks[at], batch, owner[at], at - w.first[:-1][owner[at]])
     yield from pack.flush()
 
 
