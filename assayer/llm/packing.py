@@ -7,7 +7,7 @@
    greatest length of their bucket, in time linear in the lengths for each bucket.
 4. Inside a bucket, texts are numbered without gaps and cut into batches of budget // boundary texts, so each but a bucket's
    last batch is full.  Numbers come from ranks inside shards of about `shard` texts plus the shards' running totals: no
-   bucket is sorted in one task, however many texts it holds.
+   bucket is sorted in one task, however many texts it holds, and however often one of them is repeated.
 
 Defined results: a null or empty text has 0 tokens and is packed like any other; a text longer than the budget is in a batch
 of its own kind (boundary above the budget, one text each), whole; ties and repeated rows are numbered in turn; an empty
@@ -17,11 +17,13 @@ table has no batches.
 from __future__ import annotations
 
 import base64
+from collections import Counter
 from collections.abc import Iterator
 from itertools import accumulate
 
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -32,8 +34,14 @@ from .durable import written
 SPLIT = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}++| ?\p{N}++| ?[^\s\p{L}\p{N}]++|\s++$|\s+(?!\S)|\s"
 
 
+#: Rows of one id and text that a task leaves in one shard.
+REPEATS = 64
+
+
 def token_counts(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """rid (the id), tx (xxhash64 of the text) and n_tokens of every row."""
+    """rid (the id), tx (xxhash64 of the text), n_tokens and again of every row.
+
+    again is 0, but where a task meets an id with its text more than REPEATS times: there it tells parts of the repeated rows apart."""
     with open(vocabulary, "rb") as f:
         sent = docs.sparkSession.sparkContext.broadcast(f.read())
 
@@ -42,12 +50,18 @@ def token_counts(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_
 
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, sent.value.splitlines())}
         encode = tiktoken.Encoding("own", pat_str=SPLIT, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+        task, seen = TaskContext.get().partitionId() + 1, Counter()
         for batch in batches:
+            again = []
+            for key in zip(batch.column("rid").to_pylist(), batch.column("tx").to_pylist(), strict=True):
+                part = seen[key] // REPEATS
+                again.append(part and (task << 32) + part)
+                seen[key] += 1
             texts = pc.fill_null(batch.column("text"), "")
-            yield pa.RecordBatch.from_arrays([batch.column("rid"), batch.column("tx"), pa.array([len(encode(x.as_py())) for x in texts], pa.int64())], ["rid", "tx", "n_tokens"])
+            yield pa.RecordBatch.from_arrays([batch.column("rid"), batch.column("tx"), pa.array([len(encode(x.as_py())) for x in texts], pa.int64()), pa.array(again, pa.int64())], ["rid", "tx", "n_tokens", "again"])
 
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("rid"), F.xxhash64(f"`{text_col}`").alias("tx"), F.col(f"`{text_col}`").cast("string").alias("text"))
-    return rows.mapInArrow(tc.tidy(run), "rid long, tx long, n_tokens long")
+    return rows.mapInArrow(tc.tidy(run), "rid long, tx long, n_tokens long, again long")
 
 
 def histogram(lengths: DataFrame) -> list[tuple[int, int]]:
@@ -108,7 +122,7 @@ def pack(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str
     array = lambda xs: F.array(*[F.lit(int(x)).cast("long") for x in xs])
     rows = lengths.withColumn("bucket", F.size(F.filter(array(tops), lambda x: x < F.col("n_tokens"))))
     # As many shards as the bucket's count asks for.
-    rows = rows.withColumn("shard", F.pmod(F.xxhash64("rid", "tx"), F.get(array([max(1, -(-n // shard)) for n in held]), F.col("bucket"))))
+    rows = rows.withColumn("shard", F.pmod(F.xxhash64("rid", "tx", "again"), F.get(array([max(1, -(-n // shard)) for n in held]), F.col("bucket"))))
     offsets = rows.groupBy("bucket", "shard").agg(F.count(F.lit(1)).alias("n"))
     offsets = offsets.select("bucket", "shard", (F.sum("n").over(Window.partitionBy("bucket").orderBy("shard")) - F.col("n")).alias("before"))
     rows = rows.withColumn("rn", F.row_number().over(Window.partitionBy("bucket", "shard").orderBy("n_tokens", "rid", "tx")))

@@ -113,6 +113,16 @@ def test_region_is_brute_force():
             assert html_text.extract(page, weights) == want, page
 
 
+def test_a_very_long_conversation_with_clashing_columns(spark):
+    rows = [(1, k, "user" if k % 3 else "assistant", f"turn {k} # <x> \\", "formatted", k) for k in range(1500)] + [(2, None, None, None, None, None)]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string, formatted string, turns long")
+    out = chat_format.format_conversations(df).select("conv_id", chat_format.read_turns("formatted").alias("turns"), chat_format.read_loss("formatted", "loss_spans").alias("loss"))
+    got = {r.conv_id: r for r in out.collect()}
+    assert [(t.role, t.text) for t in got[1].turns] == [r[2:4] for r in rows[:1500]] and list(got[1].loss) == [r[3] for r in rows[:1500] if r[2] == "assistant"]
+    assert [(t.role, t.text) for t in got[2].turns] == [("", "")] and list(got[2].loss) == []
+    assert chat_format.format_conversations(df.limit(0)).count() == 0
+
+
 def test_weights_have_their_signs(weights):
     assert weights.of("word") > 0 and all(w < 0 for k, w in weights.weights.items() if k != "word")
 

@@ -496,6 +496,16 @@ def test_boundaries_are_optimal():
     assert len(wide) == 16 and wide[-1] == 59_999
 
 
+def test_rows_repeated_very_often_are_dealt_into_shards(spark):
+    df = spark.createDataFrame([(None, "the same text")] * 3000 + [(k, f"text {k}") for k in range(200)], "doc_id long, text string").repartition(2)
+    lengths = packing.token_counts(df, VOCABULARY)
+    assert max(r["count"] for r in lengths.groupBy("rid", "tx", "again").count().collect()) <= 2 * packing.REPEATS
+    out = packing.pack(df, VOCABULARY, budget=40, buckets=2, shard=100).collect()
+    assert len(out) == 3200 and len({(r.batch_id, r.slot) for r in out}) == 3200
+    sizes = collections.Counter((r.bucket, r.batch_id, max(1, 40 // r.bucket_tokens)) for r in out)
+    assert all(sum(n < full for (b, _, full), n in sizes.items() if b == bucket) <= 1 for bucket in {r.bucket for r in out})
+
+
 def test_packing(spark, docs):
     import base64
 
