@@ -33,7 +33,8 @@ def remove_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     joined = ngram_join.ngram_join(docs)
     stays = joined.where("rid = keep_rid and tx = keep_tx").select("rid", "tx").distinct()
     keyed = docs.withColumns({"_rid": F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))), "_tx": F.xxhash64("text")})
-    kept = keyed.join(stays.select(F.col("rid").alias("_rid"), F.col("tx").alias("_tx")), ["_rid", "_tx"]).dropDuplicates(["_rid", "_tx"])
+    # Rows that repeat id and text are combined before the shuffle, however many there are.
+    kept = keyed.dropDuplicates(["_rid", "_tx"]).join(stays.select(F.col("rid").alias("_rid"), F.col("tx").alias("_tx")), ["_rid", "_tx"], "left_semi")
     return kept.select(*docs.columns)
 
 
