@@ -105,10 +105,12 @@ _WIDE = {"ß": "ss", "æ": "ae", "œ": "oe", "þ": "th"}
 
 def normalise_name(x: Column | str) -> Column:
     """Lower-case ASCII words with single blanks between them; null if nothing is left."""
-    out = F.lower(_col(x))
+    lowered = F.lower(_col(x))
+    out = lowered
     for a, b in _WIDE.items():
         out = F.replace(out, F.lit(a), F.lit(b))
-    out = F.translate(out, _ACCENTED, _PLAIN)
+    # Looking up every letter is slow, and most texts have none to look up.
+    out = F.when(lowered.rlike(r"[^\x00-\x7F]"), F.translate(out, _ACCENTED, _PLAIN)).otherwise(lowered)
     return F.nullif(F.trim(F.regexp_replace(out, "[^a-z0-9]+", " ")), F.lit(""))
 
 

@@ -52,7 +52,10 @@ def duplicate_row_key(spark, d):
 
 @query("select p_partkey, p_brand, case when not regexp_matches(p_brand, '^Brand#[1-3][0-9]$') then 'identifier.syntax' else 'ok' end as rule_id from part")
 def identifier_syntax(spark, d):
-    return _t(spark, d, "part", "p_partkey", "p_brand").withColumn("rule_id", F.when(~sc.matches("p_brand", "^Brand#[1-3][0-9]$"), "identifier.syntax").otherwise("ok"))
+    table = Table.of("part", _t(spark, d, "part", "p_partkey", "p_brand"))
+    rules, _ = values.identifier_rules("p_brand", values.FieldRule(), "brand", values.Profile("legacy", "brands", "^Brand#[1-3][0-9]$"), None, False)
+    outcome = F.coalesce(*[F.when(r.when, r.rule_id) for r in rules], F.lit("ok"))
+    return table.frame.select(F.col("p_partkey").cast("long"), "p_brand", outcome.alias("rule_id"))
 
 
 @query("""
@@ -306,11 +309,11 @@ def nearest_first(spark, d):
     return toponyms.nearest_first(rows, ["l_orderkey"], ["l_extendedprice", "l_linenumber", "l_partkey"], 3).select("l_orderkey", "l_linenumber", "rk")
 
 
-@query("select r.chk from (values ('declared_values'), ('lineage'), ('coordinates')) r(chk) left join (select 'declared_values' as chk, 'assessed' as state union all select 'lineage', 'not_assessed' union all select 'lineage', 'assessed') c on r.chk = c.chk group by r.chk having count(c.chk) = 0 or sum(case when c.state = 'not_assessed' then 1 else 0 end) > 0")
+@query("select r.chk from (select distinct p_type as chk from part) r left join (select p_type as chk, case when p_size % 5 = 0 and p_partkey % 3 = 0 then 'not_assessed' when p_size % 2 = 0 then 'not_applicable' else 'assessed' end as state from part where p_size > 3) c on r.chk = c.chk group by r.chk having count(c.chk) = 0 or sum(case when c.state = 'not_assessed' then 1 else 0 end) > 0")
 def required_coverage(spark, d):
-    need = spark.createDataFrame([("declared_values",), ("lineage",), ("coordinates",)], "chk string")
-    seen = spark.createDataFrame([("declared_values", "assessed"), ("lineage", "not_assessed"), ("lineage", "assessed")], "chk string, state string")
-    return incomplete_checks(need, seen, "chk")
+    part, size = _t(spark, d, "part"), F.col("p_size")
+    state = F.when((size % 5 == 0) & (F.col("p_partkey") % 3 == 0), "not_assessed").when(size % 2 == 0, "not_applicable").otherwise("assessed")
+    return incomplete_checks(part.select(F.col("p_type").alias("chk")), part.where(size > 3).select(F.col("p_type").alias("chk"), state.alias("state")), "chk")
 
 
 @query("select event_id, concat(lpad(cast(hour(ts) as varchar), 2, '0'), ':', lpad(cast(event_id % 70 as varchar), 2, '0')) as clock, event_id % 70 < 60 as ok from events")

@@ -408,11 +408,12 @@ _HITS = f"""select pid, nid, hit, round(2 * 6371000.0 * atan2(sqrt(a), sqrt(1 -
 
 
 @query(f"""
-with p as ({_LOOKUPS}), h as ({_HITS}), m as (select pid, sum(case when hit then 1 else 0 end) as matches, count(*) as near, min(case when hit then nid end) as one, min(case when hit then d end) as dist from h group by pid)
+with p as ({_LOOKUPS}), h as ({_HITS}), m as (select pid, sum(case when hit then 1 else 0 end) as matches, count(*) as near, min(case when hit then nid end) as one, min(case when hit then d end) as dist, min(d) as least from h group by pid)
 select p.id, case when not looked then 'unresolved' when direct or coalesce(matches, 0) = 1 then 'node_exact' when matches > 1 then 'ambiguous' else 'osm_fallback' end as status,
     case when not looked then 'failed' when direct then 'nominatim_place_node' when coalesce(matches, 0) = 1 then 'nominatim_reverse_then_place_node' when matches > 1 then 'nominatim_reverse_ambiguous_place_nodes' else 'nominatim_reverse_fallback' end as method,
     case when not looked then null when not direct and matches = 1 then concat('Tëwn ', cast(nm as varchar)) else concat('town ', cast(nm as varchar)) end as name, case when not looked then null when not direct and matches = 1 then one else spot end as osm_id,
-    case when not looked or direct then 0 when matches > 0 then matches else coalesce(near, 0) end as candidates, case when looked and not direct and matches = 1 then dist when looked and direct then 0.0 end as distance_m
+    case when not looked or direct then 0 else cast(case when matches > 0 then matches else coalesce(near, 0) end as bigint) end as candidates, case when looked and not direct and matches = 1 then dist when looked and direct then 0.0 end as distance_m,
+    case when looked and not direct then coalesce(dist, least) end as nearest_m
 from p left join m on m.pid = p.id""")
 def resolve_toponyms(spark, d):
     """Points to places end to end: rounded keys, place nodes within 300 km by name, one match or none."""
@@ -433,7 +434,7 @@ def resolve_toponyms(spark, d):
     tags = F.create_map(F.lit("name"), F.concat(F.lit("Tëwn "), text_of(F.col("s_nationkey") % 3)), F.lit("alt_name"), F.concat(F.lit("y;TOWN-"), text_of(F.col("s_nationkey") % 3)), F.lit("place"), F.lit("town"))
     nodes = table_of(spark, d, "supplier").where(n % 6 != 0).select(n.alias("id"), node_lat.alias("lat"), node_lon.alias("lon"), tags.alias("tags"))
     done = toponyms.resolve(points, reverse, nodes, 300_000.0)
-    return done.select(F.col("id").cast("long").alias("id"), "status", F.col("resolution_method").alias("method"), "name", F.col("osm_id").cast("long").alias("osm_id"), F.size("candidates").cast("long").alias("candidates"), "distance_m")
+    return done.select(F.col("id").cast("long").alias("id"), "status", F.col("resolution_method").alias("method"), "name", F.col("osm_id").cast("long").alias("osm_id"), F.size("candidates").cast("long").alias("candidates"), "distance_m", F.get("candidates", F.lit(0))["distance_m"].alias("nearest_m"))
 
 
 @query("select cast(row_number() over (order by n_nationkey) as bigint) as file_row, cast(n_nationkey as varchar) as k, concat('a \"', n_name, '\", b', chr(10), 'c') as t, case when n_nationkey % 4 = 0 then '\\N' else '' end as e from nation")
