@@ -11,6 +11,7 @@ from assayer.functions.spreadsheet import excel_temporal, format_kind
 from assayer.operators import evidence, toponyms, values
 from assayer.operators.findings import Findings, Table, has_errors
 from assayer.plans.run import resolve_batch
+from assayer.sources import durable
 from assayer.sources import tables as inputs
 
 
@@ -258,6 +259,24 @@ def test_radius_join_is_brute_force(spark):
         assert got == {(x[0], y[0]) for x in a for y in b if metres(x[1:], y[1:]) <= radius}
 
 
+def test_a_cluster_must_name_its_shared_folder(spark):
+    from types import SimpleNamespace as Fake
+
+    def session(master, folder=None):
+        none = Fake(isDefined=lambda: False)
+        return Fake(conf=Fake(get=lambda *_: folder, set=lambda *_: None), sparkContext=Fake(master=master, _jsc=Fake(sc=lambda: Fake(getCheckpointDir=lambda: none))))
+
+    assert durable.shared_folder(session("yarn", "hdfs:///x")) == "hdfs:///x"
+    for master in ("yarn", "spark://h:7077", "local-cluster[2,1,1024]"):
+        with pytest.raises(ValueError):
+            durable.shared_folder(session(master))
+    table = durable.written(spark.range(3))
+    assert table.count() == 3
+    durable.discard(table)
+    with pytest.raises(Exception):
+        spark.read.parquet(table._assayer_path)
+
+
 def test_inputs(spark, tmp_path):
     (tmp_path / "iso.tab").write_text("# comment\nNA\tNamibia\nSN\tSenegal\n")
     assert sorted(r.code for r in inputs.read_country_codes(spark, str(tmp_path / "iso.tab")).collect()) == ["NA", "SN"]
