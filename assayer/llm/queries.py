@@ -153,6 +153,13 @@ g as (select distinct doc_id, i + j as p from d, (select unnest(range(20)) as j)
 k as (select doc_id, i, ws[i] as word from (select doc_id, ws, unnest(range(1, len(ws) + 1)) as i from w)),
 f as (select k.doc_id, count(g.p) as n_removed, string_agg(word, ' ' order by i) filter (where g.p is null) as kept from k left join g on g.doc_id = k.doc_id and g.p = k.i group by k.doc_id)
 select w.doc_id, cast(len(ws) as bigint) as n_words, coalesce(n_removed, 0) as n_removed, sha256(coalesce(kept, '')) as kept_sha256 from w left join f using (doc_id)""",
+    # The content of pages that mark it: what lies in <article>, cut at block tags.
+    "op9_html_text": r"""
+with a as (select page_id, url, regexp_replace(regexp_extract(coalesce(html, ''), '(?s)<article>(.*?)</article>', 1), '\s+', ' ', 'g') as x from pages),
+b as (select page_id, url, regexp_replace(regexp_replace(x, '</?(p|br|h[1-6]|ul|ol|li|div|section|blockquote|table|tr|td)\b[^>]*>', chr(10), 'g'), '<[^>]*>', '', 'g') as x from a),
+l as (select page_id, url, list_filter(list_transform(string_split(x, chr(10)), lambda s: trim(s)), lambda s: s <> '') as lines from b),
+t as (select page_id, url, regexp_replace(regexp_replace(regexp_replace(regexp_replace(coalesce(array_to_string(lines, chr(10)), ''), '&lt;?', '<', 'g'), '&gt;?', '>', 'g'), '&quot;?', '"', 'g'), '&amp;?', '&', 'g') as text from l)
+select page_id, url, text, length(text) as n_chars from t""",
 }
 
 
