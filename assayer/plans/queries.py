@@ -306,7 +306,7 @@ def display_digits(spark, d):
 @query("select * from (select l_orderkey, l_linenumber, row_number() over (partition by l_orderkey order by l_extendedprice, l_linenumber, l_partkey) as rk from lineitem) t where rk <= 3")
 def nearest_first(spark, d):
     rows = _t(spark, d, "lineitem", "l_orderkey", "l_linenumber", "l_extendedprice", "l_partkey")
-    return toponyms.nearest_first(rows, ["l_orderkey"], ["l_extendedprice", "l_linenumber", "l_partkey"], 3).select("l_orderkey", "l_linenumber", "rk")
+    return toponyms.nearest_first(rows, ["l_orderkey"], ["l_extendedprice", "l_linenumber", "l_partkey"], 3).select("l_orderkey", "l_linenumber", F.col("rk").cast("long").alias("rk"))
 
 
 @query("select r.chk from (select distinct p_type as chk from part) r left join (select p_type as chk, case when p_size % 5 = 0 and p_partkey % 3 = 0 then 'not_assessed' when p_size % 2 = 0 then 'not_applicable' else 'assessed' end as state from part where p_size > 3) c on r.chk = c.chk group by r.chk having count(c.chk) = 0 or sum(case when c.state = 'not_assessed' then 1 else 0 end) > 0")
