@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+import csv
 import io
+import json
+import shutil
 import uuid
 import zipfile
 from collections.abc import Iterator
+from pathlib import Path
+from urllib.parse import urlparse
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -515,30 +520,35 @@ def workbook_sheets(spark, d):
     return sheets_of(names.mapInArrow(packed, "path string, content binary")).select("path", "format", "date_system", "sheet", "sheet_index", F.size("merges").alias("merges"))
 
 
+def _nation_book(folder: Path, rows: list[tuple[str, ...]], head: tuple[str, ...], more: dict[str, str] | None = None) -> Path:
+    """An ODS workbook of the rows with the metadata that a run asks for."""
+    items = {"workbook_id": "nations", "purpose": "p", "curator": "c", "source_reference": "s", "contract_version": structure.CONTRACT, "locale": "en", "default_identifier_profile": "n", "identifier_profiles": json.dumps({"n": {"type": "external", "namespace": "n", "pattern": "^n_[0-9]+$"}}), **(more or {})}
+    grids = {"meta__readme": [("item", "value"), *items.items()], "meta__tables": [("sheet_name", "key_field", "key_scope", "record_unit"), ("data__nations", "id", "row", "nation")], "data__nations": [head, *rows]}
+    ns = " ".join(f'xmlns:{p}="urn:oasis:names:tc:opendocument:xmlns:{p}:1.0"' for p in ("office", "table", "text"))
+    escaped = lambda x: x.replace("&", "&amp;").replace("<", "&lt;")
+    cell = lambda x: f'<table:table-cell office:value-type="string"><text:p>{escaped(x)}</text:p></table:table-cell>'
+    body = "".join(f'<table:table table:name="{s}">' + "".join(f"<table:table-row>{''.join(map(cell, r))}</table:table-row>" for r in rows) + "</table:table>" for s, rows in grids.items())
+    folder.mkdir(parents=True)
+    path = folder / "book.ods"
+    path.write_bytes(_zipped({"content.xml": f"<office:document-content {ns}><office:body><office:spreadsheet>{body}</office:spreadsheet></office:body></office:document-content>"}))
+    return path
+
+
+def _own_folder(spark) -> Path:
+    from ..sources.durable import shared_folder
+
+    return Path(urlparse(shared_folder(spark)).path) / "assayer" / uuid.uuid4().hex
+
+
 @query("select concat('n_', n_nationkey) as sheet, n_name as name from nation where n_nationkey % 2 = 0 union all select 'kept', 'yes'")
 def publish_run(spark, d):
     """A whole run over a workbook of the nations in a folder of its own: what it publishes, read back, and whether the run was published."""
-    import csv
-    import json
-    import shutil
-    from pathlib import Path
-    from urllib.parse import urlparse
-
-    from ..sources.durable import shared_folder
     from . import run, sinks
 
-    names = [r["n_name"] for r in table_of(spark, d, "nation").where("n_nationkey % 2 = 0").orderBy("n_nationkey").collect()]
-    items = {"workbook_id": "nations", "purpose": "p", "curator": "c", "source_reference": "s", "contract_version": structure.CONTRACT, "locale": "en", "default_identifier_profile": "n", "identifier_profiles": json.dumps({"n": {"type": "external", "namespace": "n", "pattern": "^n_[0-9]+$"}})}
-    grids = {"meta__readme": [["item", "value"], *map(list, items.items())], "meta__tables": [["sheet_name", "key_field", "key_scope", "record_unit"], ["data__nations", "id", "row", "nation"]], "data__nations": [["id", "name"], *([f"n_{2 * k}", n] for k, n in enumerate(names))]}
-    folder = Path(urlparse(shared_folder(spark)).path) / "assayer" / uuid.uuid4().hex
-    folder.mkdir(parents=True)
+    rows = [(f"n_{r['n_nationkey']}", r["n_name"]) for r in table_of(spark, d, "nation").where("n_nationkey % 2 = 0").orderBy("n_nationkey").collect()]
+    folder = _own_folder(spark)
     try:
-        ns = " ".join(f'xmlns:{p}="urn:oasis:names:tc:opendocument:xmlns:{p}:1.0"' for p in ("office", "table", "text"))
-        escaped = lambda x: x.replace("&", "&amp;").replace("<", "&lt;")
-        cell = lambda x: f'<table:table-cell office:value-type="string"><text:p>{escaped(x)}</text:p></table:table-cell>'
-        body = "".join(f'<table:table table:name="{s}">' + "".join(f"<table:table-row>{''.join(map(cell, r))}</table:table-row>" for r in rows) + "</table:table>" for s, rows in grids.items())
-        (folder / "book.ods").write_bytes(_zipped({"content.xml": f"<office:document-content {ns}><office:body><office:spreadsheet>{body}</office:spreadsheet></office:body></office:document-content>"}))
-        done = run.Run(spark, str(folder / "book.ods"), str(folder / "state"), "nations").run()
+        done = run.Run(spark, str(_nation_book(folder, rows, ("id", "name"))), str(folder / "state"), "nations").run()
         kept = sinks.read_json(folder / "state" / "nations" / "current.json")
         with open(f"{done['run_dir']}/original/data__nations.csv", newline="", encoding="utf-8") as f:
             rows = [(r["id"], r["name"]) for r in csv.DictReader(f)]
@@ -547,6 +557,75 @@ def publish_run(spark, d):
         shutil.rmtree(folder, ignore_errors=True)
 
 
+@query("""
+select 'token' as run, 'serialization.missing_collision' as rule_id, 'error' as severity, 1 as n union all select 'broken', 'pipeline.failure', 'error', 1 union all select 'required', 'publication.required_coverage', 'error', 1
+union all select 'places', 'toponymy.enrichment_failure', 'error', 1 union all select 'places', 'toponymy.enrichment_review', 'warning', 1
+union all select 'register', 'identifier.unregistered', 'error', cast(count(*) as bigint) from nation where n_nationkey % 2 = 1 union all select 'register', 'identifier.retired_reference', 'information', count(*) from nation where n_nationkey % 6 = 4""")
+def refused_runs(spark, d):
+    """Findings of runs that aren't published: a value that is the token for missing ones, a file that is no workbook, a check that must be made, places
+    that can't be found, identifiers that a register file lacks or has as retired."""
+    from . import run
+
+    nations = table_of(spark, d, "nation").orderBy("n_nationkey").collect()
+    plain = [(f"n_{r['n_nationkey']}", r["n_name"]) for r in nations]
+    placed = [(*p, f"{k}.5", f"{2 * k}.25") for k, p in enumerate(plain)]
+    address = "address map<string,string>, namedetails map<string,string>"
+    reverse = spark.createDataFrame([(f"{k}.5000000_{2 * k}.2500000", "road", "way", "1", "0", "0", "highway", "x", {}, {}) for k in range(0, len(placed), 2)], f"key string, name string, osm_type string, osm_id string, lat string, lon string, category string, type string, {address}")
+    nodes = spark.createDataFrame([], "id long, lat double, lon double, tags map<string,string>")
+    cases = {
+        "token": (plain, {}, {"missing_token": plain[3][1]}, None), "broken": (plain, {}, {}, None), "required": (plain, {}, {"required_assessments": ["lineage"]}, None),
+        "places": (placed, {"coordinate_crs": "WGS84"}, {"enrich_toponyms": True}, (reverse, nodes)), "register": (plain, {}, {"references": {"registry": {"path": "register.csv"}}}, None),
+    }
+    folder, found = _own_folder(spark), []
+    try:
+        for name, (rows, items, config, lookups) in cases.items():
+            book = _nation_book(folder / name, rows, ("id", "name", "latitude", "longitude")[: len(rows[0])], items)
+            if name == "broken":
+                book.write_bytes(b"no archive")
+            if name == "register":
+                (folder / name / "register.csv").write_text("namespace,identifier,entity_reference,status\n" + "".join(f"n,n_{k},e,{'retired' if k % 6 == 4 else 'issued'}\n" for k in range(0, len(rows), 2)))
+            done = run.Run(spark, str(book), str(folder / name / "state"), "nations", config, str(folder / name), "all", None, lookups).run()
+            counts = spark.read.schema(findings.FINDING).json(Path(done["run_dir"], "findings").as_uri()).groupBy("rule_id", "severity").count().collect()
+            found += [(name, r["rule_id"], r["severity"], r["count"]) for r in counts]
+            if (folder / name / "state" / "nations" / "current.json").exists():
+                found.append((name, "published", "", 1))
+        return spark.createDataFrame(found, "run string, rule_id string, severity string, n long")
+    finally:
+        shutil.rmtree(folder, ignore_errors=True)
+
+
+@query("""
+select cast(n_nationkey as varchar) as id, case when n_nationkey % 5 = 0 or n_nationkey = 24 then 'unresolved' when n_nationkey % 2 = 0 or n_nationkey % 3 = 0 then 'node_exact' else 'osm_fallback' end as status,
+    case when n_nationkey % 5 = 0 or n_nationkey = 24 then null when n_nationkey % 2 = 1 and n_nationkey % 3 = 0 then concat('V-', n_nationkey) else n_name end as name, cast(20 + n_nationkey as double) as longitude from nation""")
+def cached_places(spark, d):
+    """A batch of points from a CSV file and cached JSON answers, one of which is broken, to GeoJSON, read back."""
+    from . import run
+
+    nations = table_of(spark, d, "nation").orderBy("n_nationkey").collect()
+    folder = _own_folder(spark)
+    try:
+        for sub in ("reverse", "nodes"):
+            (folder / sub).mkdir(parents=True)
+        lines = ["id,latitude,longitude"]
+        for r in nations:
+            k = r["n_nationkey"]
+            lines.append(f"{k},{10 + k}.0,{20 + k}.0")
+            key = f"{10 + k}.0000000_{20 + k}.0000000"
+            kind = {"osm_type": "node", "category": "place", "type": "village"} if k % 2 == 0 else {"osm_type": "way", "category": "highway", "type": "road"}
+            answer = json.dumps({"name": r["n_name"], "osm_id": k, "lat": f"{10 + k}", "lon": f"{20 + k}", "address": {"village": f"v {k}"}, **kind})
+            if k % 5:
+                (folder / "reverse" / f"{key}_zoom15.json").write_text(answer[:9] if k == 24 else answer)
+            if k % 3 == 0:
+                (folder / "nodes" / f"{key}_r5000.json").write_text(json.dumps({"elements": [{"id": 100 + k, "lat": 10.01 + k, "lon": 20.0 + k, "tags": {"name": f"V-{k}", "place": "village"}}]}))
+        (folder / "points.csv").write_text("\n".join(lines) + "\n")
+        run.resolve_batch(spark, (folder / "points.csv").as_uri(), (folder / "reverse").as_uri(), (folder / "nodes").as_uri(), str(folder / "places.geojson"))
+        made = json.loads((folder / "places.geojson").read_text())["features"]
+        rows = [(f["properties"]["id"], f["properties"]["status"], f["properties"].get("name"), f["geometry"]["coordinates"][0]) for f in made]
+        return spark.createDataFrame(rows, "id string, status string, name string, longitude double")
+    finally:
+        shutil.rmtree(folder, ignore_errors=True)
+
+
 _GRID = "(select s_suppkey as k, cast(100000 + s_suppkey * 797 % 800000 as double) as x, cast(s_suppkey * 9973 % 9300000 as double) as y from supplier) g"
 _N = 1 / 298.257223563 / (2 - 1 / 298.257223563)
 _M = 6378137.0 / (1 + _N) * (1 + _N**2 / 4 + _N**4 / 64) * 0.9996
