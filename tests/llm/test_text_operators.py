@@ -179,6 +179,7 @@ def test_leaks_are_brute_force(spark, docs, item_block):
     assert found.count() == len(rows)
     nothing = decontamination.find_leaks(docs, spark.createDataFrame([], "item_id long, text string"))
     assert nothing.where(F.size("leaks") > 0).count() == 0
+    assert decontamination.find_leaks(docs.limit(0), spark.createDataFrame(items, "item_id long, text string")).count() == 0
 
 
 def test_items_of_few_shingles_are_never_missed():
